@@ -13,10 +13,10 @@ from pyspark.sql import Column, functions as F
 
 from dayloom.functions.text import decimal_coord
 
-# Micro-degrees per degree, and the largest vertex coordinate for which the products in
-# `edge_test` stay within a bigint.
+# Micro-degrees per degree, and the largest vertex coordinate for which all products of
+# differences stay within a bigint.
 MICRO = 1_000_000
-MAX_COORD = 1_000 * MICRO
+MAX_COORD = 500 * MICRO
 
 _GEOMETRY_SCHEMA = "type string, coordinates string"
 _POLYGON = "array<array<array<string>>>"

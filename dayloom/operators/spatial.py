@@ -1,27 +1,48 @@
 """Point-in-polygon join as an equi-join on grid cells.
 
-The plane is cut into square cells of 2^level micro-degrees. A zone picks the level at which it covers some
-tens of cells and is listed once per cell, with only the edges that matter there; a point looks up its own
-cell at each level in use. Every point/zone pair meets in exactly one cell, so nothing is found twice.
+The plane is cut into square cells of 2^level micro-degrees. A zone is listed once per cell that can hold an
+inner point, each cell with the few edges that pass through it; where many do, the cell is split into 16.
+A point looks up its own cell at each level in use, so a point and a zone meet in at most one cell.
+
+Why a cell's own edges are enough: take the path from a point (x, y) right to the cell's border and up that
+border to the corner R, a hair above ``y`` and ``high`` and half a unit right of ``right``, where no vertex
+lies. The point is inside if R is, flipped once per edge the path crosses, and only edges that touch the cell
+can cross it. Per edge, what crosses the path equals what crosses the whole ray right of the point, the ray
+right of R, and the number of its ends right of the border between ``y`` and ``high``. The ray right of R is
+the same for all points of a cell, so it is settled when the cell is made (``base``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dayloom.functions.geo import MAX_COORD, edge_test, micro
+from dayloom.functions.geo import MAX_COORD, micro
+from dayloom.operators.dedup import dedup_first
 from dayloom.operators.joins import BROADCAST_BYTES
 from dayloom.operators.sets import union_all
+from dayloom.session import stored
 
 # Coordinates are shifted by 2^30 (more than MAX_COORD) to 31-bit naturals.
 _BITS = 31
 _SHIFT = 1 << (_BITS - 1)
-# Cells along the longer side of a zone: about the square root of its edges, within these bounds.
-_MIN_SIDE, _MAX_SIDE = 4, 64
-# Rough memory of a cell row and of one edge in a broadcast table.
-_CELL_BYTES, _EDGE_BYTES = 160, 40
+# First cells: at most about this many along a zone's longer side.
+_FIRST_SIDE = 4
+# A cell with more edges is split, at most this often; each split halves its side twice.
+_FEW_EDGES = 4
+_SPLITS = 4
+# Out of reach of any coordinate.
+_FAR = 1 << 40
+# What the test of a point needs of an edge, and the values of one that never counts: the line is
+# run * y - rise * x = offset, between heights `low` and `high` and between `left` and `right`; `end_a` and
+# `end_b` are the heights of its ends that lie right of the cell.
+_IDLE = {
+    "run": 0, "rise": 0, "offset": 0, "low": _FAR, "high": -_FAR, "left": 0, "right": 0, "end_a": -_FAR, "end_b": -_FAR,
+}
+# Rough memory of a cell row, with its places for a few edges, and of one edge of a crowded cell.
+_EDGE_BYTES = 8 * len(_IDLE)
+_CELL_BYTES = 100 + _FEW_EDGES * _EDGE_BYTES
 
 
 def _cell_id(x: str, y: str, level: str | int) -> Column:
@@ -33,68 +54,180 @@ def _cell_id(x: str, y: str, level: str | int) -> Column:
     )
 
 
-def zone_cells(zones: DataFrame, min_side: int = _MIN_SIDE, max_side: int = _MAX_SIDE) -> DataFrame:
-    """(zip, level, cell, inside, edges), one row per zone and cell that can hold an inner point.
+def _one(condition: Column) -> Column:
+    return F.when(condition, 1).otherwise(0)
 
-    ``inside`` is the parity contributed by edges that pass right of the cell over its whole height; ``edges``
-    are the others that the test of a point of this cell needs. Cells right in the zone's middle have none.
-    """
+
+def _end_right(x: Column, y: Column, right: Column, high: Column) -> Column:
+    return (x > right) & (y <= high)
+
+
+def _ends_above(e: Column, y: Column, right: Column, high: Column) -> Column:
+    a = _one(_end_right(e["ax"], e["ay"], right, high) & (y < e["ay"]))
+    b = _one(_end_right(e["bx"], e["by"], right, high) & (y < e["by"]))
+    return a + b
+
+
+def _touches(e: Column, left: Column, right: Column, low: Column, high: Column) -> Column:
+    """Does the edge come near the cell, a margin of one unit right and above included?"""
+
+    def side(x: Column, y: Column) -> Column:
+        return (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
+
+    corners = [side(x, y) for x in (left, right + 1) for y in (low, high + 1)]
+    boxes_meet = (
+        (F.greatest(e["ax"], e["bx"]) >= left) & (F.least(e["ax"], e["bx"]) <= right + 1)
+        & (e["by"] >= low) & (e["ay"] <= high + 1)
+    )
+    return boxes_meet & (F.least(*corners) <= 0) & (F.greatest(*corners) >= 0)
+
+
+def _passes_right(e: Column, right: Column, high: Column) -> Column:
+    """Does the edge cross the ray right of the cell's corner R? Asked only of edges that do not touch the cell."""
+    side = (e["bx"] - e["ax"]) * (high - e["ay"]) * 2 - (e["by"] - e["ay"]) * (right * 2 + 1 - e["ax"] * 2)
+    return (e["ay"] <= high) & (e["by"] > high) & (side > 0)
+
+
+def _narrow(cells: DataFrame, stays: Column) -> DataFrame:
+    """From a cell (``base``, ``right``, ``high``, ``edges``) to the place in it that ``new_*`` gives; some stay as is."""
+    size = F.expr("shiftleft(1L, new_level)")
+    placed = cells.withColumns({"new_right": F.col("new_left") + size - 1, "new_high": F.col("new_low") + size - 1})
+    left, right, low, high = (F.col(f"new_{c}") for c in ("left", "right", "low", "high"))
+
+    def flips(count: Column, e: Column) -> Column:
+        beside = _one(~_touches(e, left, right, low, high) & _passes_right(e, right, high))
+        return count + beside + _ends_above(e, high, F.col("right"), F.col("high"))
+
+    base = F.aggregate("edges", F.col("base"), flips) % 2
+    edges = F.filter("edges", lambda e: _touches(e, left, right, low, high))
+    return placed.select(
+        "zip", F.col("new_level").alias("level"),
+        left.alias("left"), low.alias("low"), right.alias("right"), high.alias("high"),
+        F.when(stays, F.col("base")).otherwise(base).alias("base"),
+        F.when(stays, F.col("edges")).otherwise(edges).alias("edges"),
+    )
+
+
+def _first_cells(zones: DataFrame) -> DataFrame:
     side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) + 1
-    aim = F.least(F.lit(max_side), F.greatest(F.lit(min_side), F.ceil(F.sqrt(F.size("edges")))))
     # only even levels, to keep the number of look-ups per point small
-    level = F.greatest(F.lit(0), F.ceil(F.log2(side / aim) / 2) * 2).cast("int")
-    size = "shiftleft(1L, level)"
-
-    leveled = zones.withColumn("level", level)
-    rows = (
-        leveled.withColumn(
-            "row", F.explode(F.expr(f"sequence(shiftright(y0 + {_SHIFT}L, level), shiftright(y1 + {_SHIFT}L, level))"))
-        )
-        .withColumn("low", F.expr(f"row * {size} - {_SHIFT}L"))
-        .withColumn("high", F.expr(f"low + {size} - 1"))
-        .withColumn("edges", F.filter("edges", lambda e: (e["by"] >= F.col("low")) & (e["ay"] <= F.col("high"))))
+    level = F.greatest(F.lit(0), F.ceil(F.log2(side / _FIRST_SIDE) / 2) * 2).cast("int")
+
+    def starts(first: str, last: str) -> Column:
+        return F.explode(F.expr(
+            f"transform(sequence(shiftright({first} + {_SHIFT}L, new_level), shiftright({last} + {_SHIFT}L, new_level)),"
+            f" i -> shiftleft(i, new_level) - {_SHIFT}L)"
+        ))
+
+    # the parent of a first cell is the whole plane, whose far corner is outside every zone
+    whole = zones.select(
+        "zip", "edges", "x0", "x1", "y0", "y1", level.alias("new_level"),
+        F.lit(0).alias("base"), F.lit(_FAR).alias("right"), F.lit(_FAR).alias("high"),
     )
-    cells = (
-        rows.withColumn(
-            "column",
-            F.explode(F.expr(f"sequence(shiftright(x0 + {_SHIFT}L, level), shiftright(x1 + {_SHIFT}L, level))")),
-        )
-        .withColumn("left", F.expr(f"column * {size} - {_SHIFT}L"))
-        .withColumn("right", F.expr(f"left + {size} - 1"))
+    placed = whole.withColumn("new_low", starts("y0", "y1")).withColumn("new_left", starts("x0", "x1"))
+    return _narrow(placed, F.lit(False))
+
+
+def _split(cells: DataFrame) -> DataFrame:
+    """Crowded cells become 16, others stay (part -1), and cells wholly outside their zone go."""
+    crowded = (F.size("edges") > _FEW_EDGES) & (F.col("level") >= 2)
+    parts = F.when(crowded, F.sequence(F.lit(0), F.lit(15))).when(_may_hold(), F.array(F.lit(-1)))
+    split = cells.withColumn("part", F.explode(parts))
+    quarter = "shiftleft(1L, level - 2)"
+    stays = "part < 0"
+    return _narrow(
+        split.withColumns({
+            "new_level": F.expr(f"if({stays}, level, level - 2)"),
+            "new_left": F.expr(f"if({stays}, left, left + (part % 4) * {quarter})"),
+            "new_low": F.expr(f"if({stays}, low, low + (part div 4) * {quarter})"),
+        }),
+        F.expr(stays),
     )
 
-    def beyond(e: Column) -> Column:
-        return F.least(e["ax"], e["bx"]) > F.col("right")
-
-    def spans(e: Column) -> Column:
-        return beyond(e) & (e["ay"] <= F.col("low")) & (e["by"] > F.col("high"))
-
-    def needed(e: Column) -> Column:
-        idle = beyond(e) & (spans(e) | (e["ay"] == e["by"]))
-        return (F.greatest(e["ax"], e["bx"]) >= F.col("left")) & ~idle
-
-    return (
-        cells.select(
-            "zip",
-            "level",
-            _cell_id("left", "low", "level").alias("cell"),
-            (F.size(F.filter("edges", spans)) % 2).alias("inside"),
-            F.filter("edges", needed).alias("edges"),
-        )
-        .where((F.size("edges") > 0) | (F.col("inside") == 1))
+
+def _may_hold() -> Column:
+    return (F.size("edges") > 0) | (F.col("base") == 1)
+
+
+def _edge_values(e: Column) -> Column:
+    run, rise = e["bx"] - e["ax"], e["by"] - e["ay"]
+    ends = {
+        f"end_{p}": F.when(
+            _end_right(e[f"{p}x"], e[f"{p}y"], F.col("right"), F.col("high")), e[f"{p}y"]
+        ).otherwise(F.lit(-_FAR))
+        for p in "ab"
+    }
+    values = {
+        "run": run, "rise": rise, "offset": run * e["ay"] - rise * e["ax"], "low": e["ay"], "high": e["by"],
+        "left": F.least(e["ax"], e["bx"]), "right": F.greatest(e["ax"], e["bx"]), **ends,
+    }
+    return F.struct(*[values[name].alias(name) for name in _IDLE])
+
+
+def zone_cells(zones: DataFrame) -> DataFrame:
+    """One row per zone and cell that can hold an inner point.
+
+    (zip, level, cell, base, n_edges, crowd) and the values of the first few edges as plain columns; ``crowd``
+    lists all edges of a cell that has more. ``zones`` are rows of ``zone_table``; there is no shuffle.
+    """
+    cells = _first_cells(zones)
+    for _ in range(_SPLITS):
+        cells = _split(cells)
+    held = cells.withColumn("_held", F.explode(F.when(_may_hold(), F.array(F.lit(True)))))
+    listed = held.select(
+        "zip", "level", _cell_id("left", "low", "level").alias("cell"), "base",
+        F.size("edges").alias("n_edges"), F.transform("edges", _edge_values).alias("edges"),
     )
+    places = [
+        F.coalesce(F.get("edges", F.lit(i))[name], F.lit(idle).cast("bigint")).alias(f"{name}_{i}")
+        for i in range(_FEW_EDGES) for name, idle in _IDLE.items()
+    ]
+    crowd = F.when(F.col("n_edges") > _FEW_EDGES, F.col("edges")).alias("crowd")
+    return listed.select("zip", "level", "cell", "base", "n_edges", crowd, *places)
 
 
-def _levels_by_size(cells: DataFrame, max_bytes: int) -> tuple[list[int], list[int]]:
-    """Levels whose cell tables together stay within ``max_bytes``, smallest first, and the other levels."""
-    weight = F.count("*") * _CELL_BYTES + F.sum(F.size("edges")) * _EDGE_BYTES
+def _edge_test(edge: Mapping[str, Column] | Column, x: Column, y: Column) -> tuple[Column, Column]:
+    """Is the point on the edge, and does the edge flip the point's side?"""
+    side = edge["run"] * y - edge["rise"] * x - edge["offset"]  # > 0: the edge passes right of the point
+    level_with = (y >= edge["low"]) & (y <= edge["high"])
+    on_edge = level_with & (side == 0) & (x >= edge["left"]) & (x <= edge["right"])
+    crossed = level_with & (y < edge["high"]) & (side > 0)
+    return on_edge, (crossed != (y < edge["end_a"])) != (y < edge["end_b"])
+
+
+def _inside(x: Column, y: Column, most_edges: int) -> Column:
+    """Strictly inside the zone, for a point and a cell row that holds it.
+
+    A few edges are tested one by one from plain columns, which compiles to little code. Cells that stayed
+    crowded need a loop over their list; it is left out when there are none, since it would keep the join
+    out of whole-stage code.
+    """
+    on_any, parity = F.lit(False), F.col("base") == 1
+    for i in range(_FEW_EDGES):
+        on_edge, flips = _edge_test({name: F.col(f"{name}_{i}") for name in _IDLE}, x, y)
+        on_any, parity = on_any | on_edge, parity != flips
+    few = parity & ~on_any
+    if most_edges <= _FEW_EDGES:
+        return few
+
+    def step(state: Column, e: Column) -> Column:
+        on_edge, flips = _edge_test(e, x, y)
+        return F.when((state == 2) | on_edge, F.lit(2)).when(flips, F.lit(1) - state).otherwise(state)
+
+    return F.when(F.col("n_edges") > _FEW_EDGES, F.aggregate("crowd", F.col("base"), step) == 1).otherwise(few)
+
+
+def _levels_by_size(cells: DataFrame, max_bytes: int) -> tuple[list[int], list[int], int]:
+    """Levels whose cell tables together stay within ``max_bytes``, smallest first; the others; most edges of a cell."""
+    crowd = F.when(F.col("n_edges") > _FEW_EDGES, F.col("n_edges")).otherwise(0)
+    weight = F.count("*") * _CELL_BYTES + F.sum(crowd) * _EDGE_BYTES
     # one row per level: at most 16
-    sizes = cells.groupBy("level").agg(weight.alias("bytes")).orderBy("bytes").collect()
+    sizes = cells.groupBy("level").agg(weight.alias("bytes"), F.max("n_edges").alias("most")).collect()
     small, large, total = [], [], 0
-    for row in sizes:
+    for row in sorted(sizes, key=lambda r: r.bytes):
         total += row.bytes
         (small if total <= max_bytes else large).append(row.level)
-    return small, large
+    return small, large, max((row.most for row in sizes), default=0)
 
 
 def _with_cells(points: DataFrame, levels: Sequence[int]) -> DataFrame:
@@ -117,8 +250,8 @@ def spatial_within_join(
     by one by shuffle, with each cell split into ``salt`` keys so that a crowded place is shared by
     several tasks before adaptive execution splits it further.
     """
-    cells = zone_cells(zones)
-    small, large = _levels_by_size(cells, max_bytes)
+    cells = stored(zone_cells(zones))
+    small, large, most_edges = _levels_by_size(cells, max_bytes)
     within_reach = (F.abs("_x") <= MAX_COORD) & (F.abs("_y") <= MAX_COORD)
     placed = points.withColumns({"_x": micro(lon), "_y": micro(lat)}).where(within_reach)
 
@@ -129,13 +262,12 @@ def spatial_within_join(
     for level in large:
         grain = F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)).alias("_grain")
         every_grain = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))).alias("_grain")
-        table = cells.where(F.col("level") == level).select("zip", "cell", "inside", "edges", every_grain)
+        table = cells.where(F.col("level") == level).drop("level").select("*", every_grain)
         parts.append(_with_cells(placed, [level]).select("*", grain).join(table, ["cell", "_grain"]))
     if not parts:
         return points.where(F.lit(False)).withColumn("zip", F.lit(None).cast("string"))
-    met = union_all([part.select(*points.columns, "zip", "_x", "_y", "inside", "edges") for part in parts])
-    inside = met.where(edge_test(F.col("_x"), F.col("_y"), F.col("edges"), F.col("inside")))
-    return inside.select(*points.columns, "zip")
+    inside = _inside(F.col("_x"), F.col("_y"), most_edges)
+    return union_all([part.where(inside).select(*points.columns, "zip") for part in parts])
 
 
 def spatial_first_per_zone(
@@ -147,6 +279,4 @@ def spatial_first_per_zone(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Of the points within each zone (and each value of ``by``) the one with the smallest id."""
-    from dayloom.operators.dedup import dedup_first
-
     return dedup_first(spatial_within_join(points, zones, lon, lat), ["zip", *by], point_id)

@@ -50,3 +50,13 @@ def scratch_database(spark: SparkSession) -> str:
     name = f"dayloom_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_folder(spark)}'")
     return name
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame written to the scratch folder and read back, so that several uses compute it once.
+
+    Unlike a cached frame it survives the loss of executors and holds no memory.
+    """
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
