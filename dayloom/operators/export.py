@@ -15,18 +15,23 @@ EXPORT_NAME = "{root}_{day}.csv"
 
 SINGLE_FILE_ROWS = 5_000_000
 
-# Spark's default CSV formats keep milliseconds only; these keep all a timestamp has.
-TIMESTAMP_OPTIONS = {
+# Spark's defaults cut timestamps to milliseconds and trim texts; an export keeps both whole.
+WHOLE_VALUES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
 }
 
 
 def csv_export(df: DataFrame, path: str, max_files: int = MAX_CSV_FILES) -> None:
-    """bzip2 CSV with header in at most ``max_files`` files; fewer partitions stay as they are."""
+    """bzip2 CSV with header in at most ``max_files`` files; fewer partitions stay as they are.
+
+    NULL is written as nothing and an empty string as ``""``; Spark's own reader takes both for NULL.
+    """
     (
         df.coalesce(max_files).write.mode("overwrite")
-        .options(sep=",", header=True, compression="bzip2", **TIMESTAMP_OPTIONS).csv(path)
+        .options(sep=",", header=True, compression="bzip2", **WHOLE_VALUES).csv(path)
     )
 
 
@@ -75,7 +80,7 @@ def single_file_export(df: DataFrame, path: str, *order_by: str, max_rows: int =
     else:
         parts = df.repartitionByRange(*order_by)
     rows = parts.sortWithinPartitions(*order_by)
-    rows.write.mode("errorifexists").options(header=True, **TIMESTAMP_OPTIONS).csv(path)
+    rows.write.mode("errorifexists").options(header=True, **WHOLE_VALUES).csv(path)
 
 
 def parquet_overwrite_gzip(df: DataFrame, path: str, n_files: int | None = None) -> None:

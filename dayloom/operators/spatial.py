@@ -31,7 +31,7 @@ _SHIFT = 1 << (_BITS - 1)
 _FIRST_SIDE = 4
 # A cell with more edges is split, at most this often; each split halves its side twice.
 _FEW_EDGES = 4
-_SPLITS = 4
+_SPLITS = 3
 # Out of reach of any coordinate.
 _FAR = 1 << 40
 # What the test of a point needs of an edge, and the values of one that never counts: the line is
@@ -91,20 +91,22 @@ def _passes_right(e: Column, right: Column, high: Column) -> Column:
 def _narrow(cells: DataFrame, stays: Column) -> DataFrame:
     """From a cell (``base``, ``right``, ``high``, ``edges``) to the place in it that ``new_*`` gives; some stay as is."""
     size = F.expr("shiftleft(1L, new_level)")
-    placed = cells.withColumns({"new_right": F.col("new_left") + size - 1, "new_high": F.col("new_low") + size - 1})
+    # renamed, since inside a lambda a name that the select also gives out would mean the new column
+    outer = cells.withColumnsRenamed({name: f"outer_{name}" for name in ("right", "high", "base", "edges")})
+    placed = outer.withColumns({"new_right": F.col("new_left") + size - 1, "new_high": F.col("new_low") + size - 1})
     left, right, low, high = (F.col(f"new_{c}") for c in ("left", "right", "low", "high"))
 
     def flips(count: Column, e: Column) -> Column:
         beside = _one(~_touches(e, left, right, low, high) & _passes_right(e, right, high))
-        return count + beside + _ends_above(e, high, F.col("right"), F.col("high"))
+        return count + beside + _ends_above(e, high, F.col("outer_right"), F.col("outer_high"))
 
-    base = F.aggregate("edges", F.col("base"), flips) % 2
-    edges = F.filter("edges", lambda e: _touches(e, left, right, low, high))
+    base = F.aggregate("outer_edges", F.col("outer_base"), flips) % 2
+    edges = F.filter("outer_edges", lambda e: _touches(e, left, right, low, high))
     return placed.select(
         "zip", F.col("new_level").alias("level"),
         left.alias("left"), low.alias("low"), right.alias("right"), high.alias("high"),
-        F.when(stays, F.col("base")).otherwise(base).alias("base"),
-        F.when(stays, F.col("edges")).otherwise(edges).alias("edges"),
+        F.when(stays, F.col("outer_base")).otherwise(base).alias("base"),
+        F.when(stays, F.col("outer_edges")).otherwise(edges).alias("edges"),
     )
 
 
