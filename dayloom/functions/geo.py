@@ -78,31 +78,31 @@ def edges_of(geom: Column) -> Column:
     return F.filter(every, lambda e: (e["ax"] != e["bx"]) | (e["ay"] != e["by"]))
 
 
-def edge_test(x: Column, y: Column, edges: Column, outside: Column) -> Column:
+def edge_test(x: Column, y: Column, edges: Column) -> Column:
     """True when (x, y) lies strictly inside.
 
-    Edges crossed by the ray to the right flip the parity, which starts at ``outside`` (0 outside, 1 inside);
-    a point on any edge is not inside, whatever the parity (state 2).
+    Edges crossed by the ray to the right flip the state between 0 (outside) and 1 (inside); a point on any
+    edge is not inside, whatever the others say (state 2). Most edges end at the first comparison of heights.
     """
 
     def step(state: Column, e: Column) -> Column:
-        run, rise = e["bx"] - e["ax"], e["by"] - e["ay"]
-        side = run * (y - e["ay"]) - rise * (x - e["ax"])  # > 0: the edge passes right of the point
-        on_edge = (
-            (side == 0)
-            & (y >= e["ay"]) & (y <= e["by"])
-            & (x >= F.least(e["ax"], e["bx"])) & (x <= F.greatest(e["ax"], e["bx"]))
-        )
-        crossed = (y >= e["ay"]) & (y < e["by"]) & (side > 0)
+        side = (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])  # > 0: edge passes right
+        on_edge = (side == 0) & (x >= F.least(e["ax"], e["bx"])) & (x <= F.greatest(e["ax"], e["bx"]))
         return (
-            F.when((state == 2) | on_edge, F.lit(2))
-            .when(crossed, F.lit(1) - state)
+            F.when((y < e["ay"]) | (y > e["by"]) | (state == 2), state)
+            .when(on_edge, F.lit(2))
+            .when((y < e["by"]) & (side > 0), F.lit(1) - state)
             .otherwise(state)
         )
 
-    return F.aggregate(edges, outside.cast("int"), step) == 1
+    return F.aggregate(edges, F.lit(0), step) == 1
+
+
+def within_edges(point: Column, edges: Column) -> Column:
+    """``st_within`` for a geometry whose edges were taken before, say on the smaller side of a join."""
+    return _once(point, lambda p: edge_test(p["x"], p["y"], edges))
 
 
 def st_within(point: Column, geom: Column) -> Column:
     """Strictly within: a point on the border of the geometry or of a hole is not."""
-    return edge_test(point["x"], point["y"], edges_of(geom), F.lit(0))
+    return within_edges(point, edges_of(geom))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dayloom.functions.geo import st_geom_from_geojson as geom_from_geojson, st_point as point, st_within as within
+from dayloom.functions.geo import edges_of, st_geom_from_geojson as geom_from_geojson, st_point as point, within_edges
 from dayloom.functions.text import clean_geometry, feature, feature_zip
 from dayloom.operators.spatial import spatial_first_per_zone as first_per_zone, spatial_within_join as within_join
 from dayloom.plans.inputs import (
@@ -82,11 +82,10 @@ def st_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 def st_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     # each point against the one zone of its supplier
     homes = zone_frame(spark, sf_dir).select(F.col("s_suppkey").alias("l_suppkey"), "zip")
-    shapes = _features(spark, sf_dir).select(
-        feature_zip(F.col("f")).alias("zip"), geom_from_geojson(clean_geometry(F.col("f"))).alias("geom")
-    )
+    geometry = geom_from_geojson(clean_geometry(F.col("f")))
+    shapes = _features(spark, sf_dir).select(feature_zip(F.col("f")).alias("zip"), edges_of(geometry).alias("edges"))
     paired = item_points(spark, sf_dir).join(homes.join(shapes, "zip"), "l_suppkey")
-    inside = within(point("LONGITUDE", "LATITUDE"), F.col("geom"))
+    inside = within_edges(point("LONGITUDE", "LATITUDE"), F.col("edges"))
     return paired.select(*_ITEM_KEY, inside.alias("in_home_zone"))
 
 
