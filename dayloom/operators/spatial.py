@@ -170,9 +170,10 @@ def zone_cells(zones: DataFrame) -> DataFrame:
     """One row per zone and cell that can hold an inner point.
 
     (zip, level, cell, base, n_edges, crowd) and the values of the first few edges as plain columns; ``crowd``
-    lists all edges of a cell that has more. ``zones`` are rows of ``zone_table``; there is no shuffle.
+    lists all edges of a cell that has more. ``zones`` are rows of ``zone_table``. They are dealt out over all
+    cores first: there are few of them, in few partitions, but each takes a while.
     """
-    cells = _first_cells(zones)
+    cells = _first_cells(zones.repartition(zones.sparkSession.sparkContext.defaultParallelism))
     for _ in range(_SPLITS):
         cells = _split(cells)
     held = cells.withColumn("_held", F.explode(F.when(_may_hold(), F.array(F.lit(True)))))
@@ -232,6 +233,10 @@ def _levels_by_size(cells: DataFrame, max_bytes: int) -> tuple[list[int], list[i
     return small, large, max((row.most for row in sizes), default=0)
 
 
+def _reachable(value: Column) -> Column:
+    return F.when(F.abs(value) <= MAX_COORD, value)
+
+
 def _with_cells(points: DataFrame, levels: Sequence[int]) -> DataFrame:
     ids = [_cell_id("_x", "_y", level) for level in levels]
     return points.withColumn("cell", ids[0] if len(ids) == 1 else F.explode(F.array(*ids)))
@@ -254,8 +259,8 @@ def spatial_within_join(
     """
     cells = stored(zone_cells(zones))
     small, large, most_edges = _levels_by_size(cells, max_bytes)
-    within_reach = (F.abs("_x") <= MAX_COORD) & (F.abs("_y") <= MAX_COORD)
-    placed = points.withColumns({"_x": micro(lon), "_y": micro(lat)}).where(within_reach)
+    # out of reach of every zone: NULL, which meets no cell; a filter here would parse each coordinate twice
+    placed = points.withColumns({"_x": _reachable(micro(lon)), "_y": _reachable(micro(lat))})
 
     parts = []
     if small:
