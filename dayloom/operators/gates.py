@@ -31,8 +31,8 @@ def files_by_day(
 ) -> DataFrame:
     """(data_date, n_files, bytes) of the days that have files; with ``days`` no other day is listed.
 
-    Only names and lengths are read, not content, so the cost grows with the number of files. A root that
-    does not exist yet has no days.
+    Only names and lengths are read, not content, so the cost grows with the number of files; one task takes many
+    of them. A root that does not exist yet has no days.
     """
     names = "*" if days is None else "{" + ",".join(day.isoformat() for day in days) + "}"
     pattern = f"{root}/{layout.format(day=names)}"
@@ -40,6 +40,7 @@ def files_by_day(
         files = (
             spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern)
             .select(path_day(layout).alias("data_date"), "length")
+            .coalesce(spark.sparkContext.defaultParallelism)
         )
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
