@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dayloom.llm import quality_rules
+from dayloom.llm.ngram_join import similar_groups
 from dayloom.llm.packing import pack_documents
 from dayloom.llm.token_ids import default_vocabulary
 from dayloom.llm.token_store import read_documents, write_tokens
@@ -22,6 +23,11 @@ def query(build: Build) -> Build:
     return build
 
 
+@query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(read_given(spark, sf_dir, "documents"))
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_given(spark, sf_dir, "documents"), default_vocabulary())
