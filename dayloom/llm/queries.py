@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dayloom.llm import quality_rules
+from dayloom.llm.embedding_dedup import near_duplicates
+from dayloom.llm.language_id import fit, identify
 from dayloom.llm.ngram_join import similar_groups
 from dayloom.llm.packing import pack_documents
 from dayloom.llm.token_ids import default_vocabulary
@@ -28,6 +30,17 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(read_given(spark, sf_dir, "documents"))
 
 
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_given(spark, sf_dir, "documents")
+    return identify(docs, fit(docs))
+
+
+@query
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_given(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_given(spark, sf_dir, "documents"), default_vocabulary())
