@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dayloom.llm import quality_rules
+from dayloom.llm import html_extract, license_scan, quality_rules, url_filter
 from dayloom.llm.embedding_dedup import near_duplicates
 from dayloom.llm.language_id import fit, identify
+from dayloom.llm.mixing import Plan, mixture
 from dayloom.llm.ngram_join import similar_groups
 from dayloom.llm.packing import pack_documents
 from dayloom.llm.token_ids import default_vocabulary
@@ -25,6 +26,16 @@ def query(build: Build) -> Build:
     return build
 
 
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_given(spark, sf_dir, "pages"), url_filter.RULES)
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_given(spark, sf_dir, "documents"))
+
+
 @query
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(read_given(spark, sf_dir, "documents"))
@@ -46,6 +57,26 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_given(spark, sf_dir, "documents"), default_vocabulary())
 
 
+#: the domain of a source, by its number
+DOMAIN = "get(array('web', 'books', 'code', 'forum'), try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 4)"
+MIXTURE = Plan(
+    domains={"web": 4.0, "books": 3.0, "code": 2.0, "forum": 1.0},
+    languages={"en": 4.0, "de": 2.0, "fr": 2.0, "es": 2.0},
+    sources={},
+)
+
+
+@query
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(read_given(spark, sf_dir, "documents"), F.expr(DOMAIN), MIXTURE, [])
+
+
+@query
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_given(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
 @query
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark)
