@@ -3,18 +3,24 @@
 A byte-level BPE splits a text into words before it merges, and a single space between two non-blank characters
 always starts a new word. So a text can be cut at such spaces and the ids of the parts joined: the result is the
 library's own for the whole text. Parts repeat, so a worker keeps the ids of those it has met, up to ``MAX_KEPT`` of
-each kind; others are computed each time they come.
+each kind and ``LONGEST_KEPT`` characters; others are computed each time they come.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
-MAX_KEPT = 500_000
+MAX_KEPT = 1_000_000
+LONGEST_KEPT = 14  # characters; longer parts seldom come again
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _CLOSING = frozenset(".,;:!?")
+_LATIN_END = "\u0250"  # letters below it are letters to every version of Unicode
+# a byte-level vocabulary spells bytes that do not print as the characters from U+0100 on, in order
+_SILENT = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_SPELLED = {b: 256 + i for i, b in enumerate(_SILENT)}
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -34,11 +40,11 @@ def encoder(path: str) -> Encoder:
 class _Words(dict):
     """Ids of a word as the library's own splitter writes it."""
 
-    def __init__(self, model, dtype: np.dtype) -> None:
-        self.model, self.dtype = model, dtype
+    def __init__(self, owner: Encoder) -> None:
+        self.merge, self.pack = owner.merge, owner.pack
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array([t.id for t in self.model.tokenize(word)], self.dtype).tobytes()
+        ids = self.pack([t.id for t in self.merge(word)])
         if len(self) < MAX_KEPT:
             self[word] = ids
         return ids
@@ -48,17 +54,18 @@ class _Parts(dict):
     """Ids of what stands between two cuts, with the space before it."""
 
     def __init__(self, owner: Encoder) -> None:
-        self.owner = owner
+        self.owner, self.words = owner, owner.words
+        self.merge, self.pack = owner.merge, owner.pack
 
     def __missing__(self, part: str) -> bytes:
-        words = self.owner.words
-        if part.isascii() and part.isalpha():
-            ids = words["Ġ" + part]
-        elif part.isascii() and part[:-1].isalpha() and part[-1] in _CLOSING:
-            ids = words["Ġ" + part[:-1]] + words[part[-1]]
+        if part.isalpha() and (part.isascii() or max(part) < _LATIN_END):
+            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(_SPELLED)
+            ids = self.pack([t.id for t in self.merge("Ġ" + spelled)])
+        elif part[-1:] in _CLOSING and part[:-1].isalpha():
+            return self[part[:-1]] + self.words[part[-1]]  # two look-ups; not kept a second time
         else:
             ids = self.owner.split(" " + part)
-        if len(self) < MAX_KEPT:
+        if len(part) <= LONGEST_KEPT and len(self) < MAX_KEPT:
             self[part] = ids
         return ids
 
@@ -69,13 +76,18 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._added = [str(t) for t in self.library.get_added_tokens_decoder().values()]
-        self.words = _Words(self.library.model, self.dtype)
+        self.merge = self.library.model.tokenize
+        self.words = _Words(self)
         self.parts = _Parts(self)
 
+    def pack(self, ids: list[int]) -> bytes:
+        return array(self._code, ids).tobytes()
+
     def split(self, text: str) -> bytes:
         if any(a in text for a in self._added):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+            return self.pack(self.library.encode(text, add_special_tokens=False).ids)
         return b"".join([self.words[w] for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)])
 
     def encode(self, text: str) -> bytes:
