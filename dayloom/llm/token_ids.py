@@ -13,7 +13,7 @@ from array import array
 
 import numpy as np
 
-MAX_KEPT = 1_000_000
+MAX_KEPT = 1_500_000
 LONGEST_KEPT = 14  # characters; longer parts seldom come again
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _CLOSING = frozenset(".,;:!?")
@@ -37,6 +37,15 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _spelled(part: str) -> str:
+    """A word of Latin letters as the vocabulary spells it; empty for anything else."""
+    if not part.isalpha():
+        return ""
+    if part.isascii():
+        return part
+    return part.encode().decode("latin-1").translate(_SPELLED) if max(part) < _LATIN_END else ""
+
+
 class _Words(dict):
     """Ids of a word as the library's own splitter writes it."""
 
@@ -58,12 +67,16 @@ class _Parts(dict):
         self.merge, self.pack = owner.merge, owner.pack
 
     def __missing__(self, part: str) -> bytes:
-        if part.isalpha() and (part.isascii() or max(part) < _LATIN_END):
-            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(_SPELLED)
+        spelled = _spelled(part)
+        if spelled:
             ids = self.pack([t.id for t in self.merge("Ġ" + spelled)])
         elif part[-1:] in _CLOSING and part[:-1].isalpha():
             return self[part[:-1]] + self.words[part[-1]]  # two look-ups; not kept a second time
         else:
+            line, _, rest = part.partition("\n")
+            spelled = _spelled(rest)
+            if spelled and line and not line[-1].isspace():  # the end of a line between two words
+                return self[line] + self.words["Ċ"] + self.words[spelled]
             ids = self.owner.split(" " + part)
         if len(part) <= LONGEST_KEPT and len(self) < MAX_KEPT:
             self[part] = ids
