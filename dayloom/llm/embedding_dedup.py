@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from dayloom.llm.components import components
+from dayloom.llm.sampling import smallest_marks
 from dayloom.session import stored
 
 LEAST = 0.9
@@ -174,7 +175,8 @@ def _links(nodes: DataFrame, dim: int, least: float, tile: int) -> DataFrame:
     own = nodes.where(F.size("embedding") == dim).select("node", "copies", "embedding")
     n = own.count()
     k = max(1, min(MAX_CELLS, round(math.sqrt(n) / 8)))
-    drawn = own.select("embedding", F.xxhash64("node").alias("mark")).orderBy("mark").limit(k).collect()
+    drawn = smallest_marks(own.select("embedding", F.xxhash64("node").alias("mark")), n, k)
+    k = len(drawn)
     pivots = _matrix(pa.array([r["embedding"] for r in drawn], pa.list_(pa.float64())))
     counted = own.select("embedding").mapInArrow(
         functools.partial(_count_cells, pivots=pivots, least=least), "cell bigint, own bigint, visiting bigint"

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dayloom.llm.byte_gru import WINDOW, ByteGru
+from dayloom.llm.sampling import smallest_marks
 
 SAMPLE = 6000
 STEPS = 260
@@ -37,11 +38,13 @@ def held_out() -> Column:
 
 def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> ByteGru | None:
     """The network fitted to a bounded sample of ``docs(doc_id, text, lang)``; None without labelled rows."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out())
+    labelled = docs.where(F.col("lang").isNotNull() & ~held_out())
+    total = labelled.count()
+    labelled = labelled.where(F.col("text").rlike(r"\p{L}"))
     mark = F.xxhash64("doc_id", F.lit("language"))
     place = 1 + F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - WINDOW, F.lit(1)))
     windows = labelled.select(F.substr("text", place.cast("int"), F.lit(WINDOW)).alias("w"), "lang", mark.alias("mark"))
-    rows = windows.orderBy("mark", "lang", "w").limit(sample).collect()  # ``sample`` short windows
+    rows = smallest_marks(windows, total, sample)
     if not rows:
         return None
     labels = sorted({r["lang"] for r in rows})
