@@ -83,6 +83,6 @@ class Boundaries:
     def all(self) -> np.ndarray:
         """Every value at once."""
         ones = np.flatnonzero(np.unpackbits(self._high, bitorder="little"))[: self.n]
-        bits = np.unpackbits(self._low, count=self.n * self.low_bits, bitorder="little").reshape(self.n, -1)
+        bits = np.unpackbits(self._low, count=self.n * self.low_bits, bitorder="little").reshape(self.n, self.low_bits)
         low = (bits.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1) if self.low_bits else 0
         return (ones - np.arange(self.n) << self.low_bits) + low

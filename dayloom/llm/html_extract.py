@@ -2,11 +2,11 @@
 
 A page is read once as a sequence of chunks of text and tags. Each chunk has a *kind*: the nearest enclosing element that
 is furniture by its tag, role, class or id (``footer``, ``div.ad``), else the nearest block (``p``). A word scores the
-weight of its kind, a tag the weight of its name; a linear scan finds the contiguous run with the largest sum. The text
+weight of its kind, an opening tag outside of furniture the weight of its name; a linear scan finds the contiguous run with the largest sum. The text
 of that run, without its furniture, is the result.
 
 Weights are learned from labelled pages, those that mark their content by ``article`` or ``main``: the log-odds of a
-kind's words, and of a tag, to stand inside. They come from at most ``sample`` pages drawn by a hash over the table;
+kind's words, and of a tag, to stand inside. They come from about ``sample`` pages drawn by a hash over the table;
 kinds that were not met fall back on what their tag says. Every page is then read whole.
 
 Character references are decoded. A block or ``br`` ends a word, an inline tag does not; white space becomes one space.
@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 SAMPLE = 2000
-TAG_SHARE = 0.25  # of a word's weight, at most, that a tag takes away
+TAG_SHARE = 0.25  # what a tag takes away at most, where a word gives 1 to 2
+LINK = 1.0  # the same for a link
 FURNITURE_WORD = -0.1  # at least; furniture is never written, so it need not part what lies on its two sides
 
 _TAG = re.compile(
@@ -54,7 +55,8 @@ _INLINE = set(
     " time tt u var wbr img label".split()
 )
 _NAME_PART = re.compile(r"[a-z]+")
-Chunk = tuple[str, str, str, bool]  # what ("text" or "tag"), kind or tag name, text, inside article or main
+# what ("text", "tag" or "end": a closing tag or one within furniture), kind or tag name, text, inside article or main
+Chunk = tuple[str, str, str, bool]
 
 
 def _is_furniture(name: str, rest: str) -> str:
@@ -108,12 +110,14 @@ def chunks(page: str) -> Iterator[Chunk]:
             if depth is not None:
                 unseen -= sum(n in _UNSEEN for n, _ in stack[depth:])
                 del stack[depth:]
-            if not unseen:
-                yield "tag", name, "", inside()
+            if not unseen and name not in _INLINE:
+                yield "end", name, "", inside()
             continue
         rest = found["rest"] or ""
-        if not unseen:
+        if not unseen and not any(furniture for _, furniture in stack):
             yield "tag", name, "", inside()
+        elif not unseen and name not in _INLINE:
+            yield "end", name, "", inside()
         if name in _VOID or rest.endswith("/"):
             continue
         if name in _RAW and not unseen:
@@ -141,7 +145,7 @@ class Weights:
         return self.words.get(kind, FURNITURE_WORD if _furniture(kind) else 1.0)
 
     def tag(self, name: str) -> float:
-        return self.tags.get(name, 0.0 if name in _INLINE or name == "br" else -TAG_SHARE)
+        return self.tags.get(name, -LINK if name == "a" else 0.0 if name in _INLINE or name == "br" else -TAG_SHARE)
 
 
 def _furniture(kind: str) -> bool:
@@ -152,7 +156,8 @@ def _count(page: str) -> Counter[tuple[str, str, bool]]:
     """Words by kind and tags by name, inside and outside of the marked content; nothing for an unmarked page."""
     seen: Counter[tuple[str, str, bool]] = Counter()
     for what, kind, text, inside in chunks(page):
-        seen[what, kind, inside] += len(text.split()) if what == "text" else 1
+        if what != "end":
+            seen[what, kind, inside] += len(text.split()) if what == "text" else 1
     return seen if any(inside for _, _, inside in seen) else Counter()
 
 
@@ -167,14 +172,15 @@ def learned(totals: dict[tuple[str, str, bool], int]) -> Weights:
             out[what][kind] = max(FURNITURE_WORD, min(0.0, odds)) if _furniture(kind) else max(-2.0, min(2.0, odds))
         else:
             odds = math.log((within + 5) / (without + 5))
-            out[what][kind] = max(-TAG_SHARE, min(0.0, 0.1 * odds + default / 2))
+            out[what][kind] = max(-LINK if kind == "a" else -TAG_SHARE, min(0.0, 0.1 * odds + default / 2))
     return Weights(out["text"], out["tag"])
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Weights:
-    """Weights from at most ``sample`` marked pages, drawn by a hash; only sums by kind reach the driver."""
-    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]"))
-    drawn = marked.select("html", F.xxhash64("page_id", "html").alias("mark")).orderBy("mark").limit(sample)
+    """Weights from the marked ones of about ``sample`` pages, drawn by a hash; only sums by kind reach the driver."""
+    share = min(1.0, sample / max(pages.count(), 1))
+    mark = F.pmod(F.xxhash64("page_id", "url"), F.lit(1_000_000))
+    drawn = pages.where(mark < F.lit(math.ceil(share * 1_000_000))).where(F.col("html").rlike("(?i)<(article|main)[ >]"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[tuple[str, str, bool]] = Counter()
@@ -195,8 +201,8 @@ def main_text(page: str | None, weights: Weights) -> str:
     """The text of the best run of one page."""
     parts: list[tuple[float, str]] = []  # score, text as it will be written
     for what, kind, text, _ in chunks(page or ""):
-        if what == "tag":
-            parts.append((weights.tag(kind), "" if kind in _INLINE else " "))
+        if what != "text":
+            parts.append((weights.tag(kind) if what == "tag" else 0.0, "" if kind in _INLINE else " "))
         elif _furniture(kind):
             parts.append((weights.word(kind) * len(text.split()), ""))
         else:
