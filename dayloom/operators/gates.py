@@ -58,10 +58,24 @@ def partition_size_gate(
     return sizes.select("data_date", (F.col("bytes") > min_bytes).alias("complete"))
 
 
-def partition_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """(data_date, n_files, bytes, n_rows) per day. Rows come from the Parquet footers."""
-    rows = spark.read.parquet(root).groupBy("data_date").agg(F.count("*").alias("n_rows"))
-    return files_by_day(spark, root).join(rows, "data_date", "left").na.fill(0, ["n_rows"])
+def partition_inventory(
+    spark: SparkSession, root: str, days: Sequence[date] | None = None, layout: str = BY_PARTITION
+) -> DataFrame:
+    """(data_date, n_files, bytes, n_rows) per day, for ``days`` only if given. Rows come from the Parquet footers.
+
+    A root or range without days gives no rows.
+    """
+    names = "*" if days is None else "{" + ",".join(day.isoformat() for day in days) + "}"
+    files = files_by_day(spark, root, days, layout)
+    try:
+        data = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/{layout.format(day=names)}")
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return files.withColumn("n_rows", F.lit(0).cast("bigint"))
+    day = path_day(layout, F.col("_metadata.file_path")).alias("data_date")
+    rows = data.groupBy(day).agg(F.count("*").alias("n_rows"))
+    return files.join(rows, "data_date", "left").na.fill(0, ["n_rows"])
 
 
 def count_rows(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date, timedelta
@@ -9,10 +11,13 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dayloom.functions.dates import hour_of_day
-from dayloom.operators.gates import MIN_BYTES, day_row_gate, files_by_day
-from dayloom.sources.tables import lookback_days
+from dayloom.operators.gates import BY_DIRECTORY, BY_PARTITION, MIN_BYTES, day_row_gate, files_by_day
+from dayloom.session import stored
+from dayloom.sources.paths import drop_folders, names_in, staged_days
 
 DATE_COL = "data_date"
+# Fixed value: days that are kept.
+KEEP_DAYS = 189
 
 
 @contextmanager
@@ -54,8 +59,22 @@ def drop_days(spark: SparkSession, table: str, days: Sequence[date]) -> None:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
-def retention_keep(spark: SparkSession, table: str, as_of: date, keep_days: int = 189) -> list[date]:
-    """Drop the days more than ``keep_days`` before ``as_of``. Reads partition names, no data."""
+def _details(spark: SparkSession, table: str) -> dict:
+    """What the catalog says about a table itself, apart from its columns."""
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    return _details(spark, table)["location"]
+
+
+def retention_keep(spark: SparkSession, table: str, as_of: date, keep_days: int = KEEP_DAYS) -> list[date]:
+    """Drop the days more than ``keep_days`` before ``as_of``. Reads partition names, no data.
+
+    Dropping a partition of an external table would leave its files, so such a table is an error.
+    """
+    if _details(spark, table).get("type") == "EXTERNAL":
+        raise ValueError(f"{table} is external: its days would lose their names but not their files")
     name = F.regexp_extract("partition", f"{DATE_COL}=([0-9-]+)", 1).cast("date")
     old = (
         spark.sql(f"SHOW PARTITIONS {table}").select(name.alias("day")).distinct()
@@ -66,9 +85,32 @@ def retention_keep(spark: SparkSession, table: str, as_of: date, keep_days: int
     return days
 
 
-def table_location(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
-    return described.first()["data_type"]
+def retention_keep_folders(
+    spark: SparkSession, root: str, as_of: date, keep_days: int = KEEP_DAYS, layout: str = BY_DIRECTORY
+) -> list[date]:
+    """The same for a dataset with one folder per day."""
+    oldest = as_of - timedelta(days=keep_days)
+    named = re.compile(re.escape(layout).replace(re.escape("{day}"), r"(\d{4}-\d{2}-\d{2})"))
+    found = [date.fromisoformat(m[1]) for name in names_in(spark, root) if (m := named.fullmatch(name))]
+    days = sorted(day for day in found if day < oldest)
+    drop_folders(spark, root, layout, days)
+    return days
+
+
+def _incomplete(
+    spark: SparkSession, root: str, rows: DataFrame | None, span: list[date], min_bytes: int, min_rows: int | None,
+    layout: str,
+) -> list[date]:
+    sizes = files_by_day(spark, root, span, layout)
+    complete = sizes.where(F.col("bytes") > min_bytes).select(DATE_COL)
+    if min_rows is not None and rows is not None:
+        complete = complete.join(day_row_gate(rows, min_rows).where("complete"), DATE_COL, "left_semi")
+    passed = {row[DATE_COL] for row in complete.collect()}  # at most as many as the span has days
+    return [day for day in span if day not in passed]
+
+
+def _span(as_of: date, n_lookback: int) -> list[date]:
+    return [as_of - timedelta(days=back) for back in range(n_lookback, 0, -1)]
 
 
 def days_to_backfill(
@@ -80,15 +122,9 @@ def days_to_backfill(
     min_rows: int | None = None,
 ) -> list[date]:
     """The days of the look-back range, oldest first, that are absent or do not pass the gates."""
-    wanted = lookback_days(spark, as_of, n_lookback)
-    span = [as_of - timedelta(days=back) for back in range(n_lookback, 0, -1)]
-    sizes = files_by_day(spark, table_location(spark, table), span)
-    complete = sizes.where(F.col("bytes") > min_bytes).select(DATE_COL)
-    if min_rows is not None:
-        held = spark.table(table).where(F.col(DATE_COL).isin(span))
-        complete = complete.join(day_row_gate(held, min_rows).where("complete"), DATE_COL, "left_semi")
-    missing = wanted.join(complete, DATE_COL, "left_anti").orderBy(DATE_COL)
-    return [row[DATE_COL] for row in missing.collect()]  # at most n_lookback rows
+    span = _span(as_of, n_lookback)
+    rows = spark.table(table).where(F.col(DATE_COL).isin(span))
+    return _incomplete(spark, table_location(spark, table), rows, span, min_bytes, min_rows, BY_PARTITION)
 
 
 def backfill_missing_days(
@@ -99,24 +135,59 @@ def backfill_missing_days(
     n_lookback: int,
     min_bytes: int = MIN_BYTES,
     min_rows: int | None = None,
+    keep_short: bool = False,
 ) -> list[date]:
     """Recompute the incomplete days of the look-back range in one job and put them in place.
 
     ``compute`` maps source rows of whole days (column ``data_date``) to table rows. The source is filtered
-    by literal days, so its scan is pruned. Short days are dropped first: a day whose source is gone ends
-    up absent, not short. A run that died is repaired by the next one; a run with nothing to do writes nothing.
+    by literal days, so its scan is pruned. What the table holds stays until the new rows are written; then short
+    days for which there were none are dropped, unless ``keep_short``. A run with nothing to do writes nothing.
     """
     spark = source.sparkSession
     days = days_to_backfill(spark, table, as_of, n_lookback, min_bytes, min_rows)
     if days:
-        drop_days(spark, table, days)
-        fresh = compute(source.where(F.col(DATE_COL).isin(days))).where(F.col(DATE_COL).isin(days))
+        fresh = stored(compute(source.where(F.col(DATE_COL).isin(days))).where(F.col(DATE_COL).isin(days)))
         replace_days(fresh, table)
+        if not keep_short:
+            made = {row[DATE_COL] for row in fresh.select(DATE_COL).distinct().collect()}  # days of the range
+            drop_days(spark, table, [day for day in days if day not in made])
+    return days
+
+
+def backfill_missing_folders(
+    root: str,
+    source: DataFrame,
+    compute: Callable[[DataFrame], DataFrame],
+    as_of: date,
+    n_lookback: int,
+    min_bytes: int = MIN_BYTES,
+    keep_short: bool = False,
+    layout: str = BY_DIRECTORY,
+) -> list[date]:
+    """The same for a dataset with one folder per day: one job writes all days aside, then each is put in place."""
+    spark = source.sparkSession
+    days = _incomplete(spark, root, None, _span(as_of, n_lookback), min_bytes, None, layout)
+    if days:
+        fresh = compute(source.where(F.col(DATE_COL).isin(days))).where(F.col(DATE_COL).isin(days))
+        made = replace_folders(fresh, root, layout)
+        if not keep_short:
+            drop_folders(spark, root, layout, [day for day in days if day not in made])
     return days
 
 
+def replace_folders(df: DataFrame, root: str, layout: str = BY_DIRECTORY) -> list[date]:
+    """Write the days of ``df`` to their folders, replacing those; the folder stands for ``data_date``."""
+    with staged_days(df.sparkSession, root, layout) as (staging, moved):
+        df.withColumnRenamed(DATE_COL, "_day").hint("rebalance", "_day").write.partitionBy("_day").parquet(staging)
+    return moved
+
+
 def write_hourly_slots(df: DataFrame, table: str, ts: str, first_day: date, last_day: date) -> None:
-    """All (day, hour) slots of a range in one job, one output partition per slot."""
+    """All (day, hour) slots of a range in one job, one output partition per slot; other slots of the table stay."""
     in_range = df.where(F.to_date(ts).between(F.lit(first_day), F.lit(last_day)))
     slotted = in_range.withColumns({DATE_COL: F.to_date(ts), "hr": hour_of_day(ts).cast("int")})
-    write_days(slotted, table, (DATE_COL, "hr"))
+    slots = (DATE_COL, "hr")
+    if df.sparkSession.catalog.tableExists(table):
+        replace_days(slotted, table, slots)
+    else:
+        write_days(slotted, table, slots)

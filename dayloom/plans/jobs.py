@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dayloom.operators.export import dated_export, export_needs_update
+from dayloom.operators.export import export_days, export_needs_update
 from dayloom.operators.gates import MIN_BYTES
 from dayloom.operators.partitions import backfill_missing_days, retention_keep
 from dayloom.operators.spatial import spatial_first_per_zone
-from dayloom.sources.tables import read_table_day
+from dayloom.session import scratch_scope
 from dayloom.sources.zones import zone_table, zone_texts
 
 
@@ -26,8 +26,9 @@ def daily_backfill(
     min_rows: int | None = None,
 ) -> tuple[list[date], list[date]]:
     """Recompute what the look-back range lacks, then drop what is too old. Returns the days of both kinds."""
-    computed = backfill_missing_days(table, source, compute, as_of, n_lookback, min_bytes, min_rows)
-    dropped = [] if keep_days is None else retention_keep(source.sparkSession, table, as_of, keep_days)
+    with scratch_scope(source.sparkSession):
+        computed = backfill_missing_days(table, source, compute, as_of, n_lookback, min_bytes, min_rows)
+        dropped = [] if keep_days is None else retention_keep(source.sparkSession, table, as_of, keep_days)
     return computed, dropped
 
 
@@ -42,21 +43,29 @@ def zone_assignment(
     """Write the first point of every target zone per slot, one output partition per slot, gzip Parquet.
 
     ``features`` are GeoJSON lines in ``_c0``, ``targets`` has a ``zip`` column, ``points`` have LONGITUDE and
-    LATITUDE; ``slots`` are columns such as day and hour, all handled by the one job.
+    LATITUDE and a unique ``point_id``; ``slots`` are columns such as day and hour, all handled by the one job.
+    Slots that are written replace those of an earlier run, all others in ``out`` stay. What the job stores on its
+    way is deleted at its end.
     """
-    zones = zone_table(zone_texts(features, targets))
-    first = spatial_first_per_zone(points, zones, point_id, by=slots)
-    if slots:
-        first = first.hint("rebalance", *slots)
-    first.write.mode("overwrite").option("compression", "gzip").partitionBy(*slots).parquet(out)
+    spark = points.sparkSession
+    with scratch_scope(spark):
+        zones = zone_table(zone_texts(features, targets))
+        first = spatial_first_per_zone(points, zones, point_id, by=slots)
+        if slots:
+            first = first.hint("rebalance", *slots)
+        writer = first.write.mode("overwrite").option("compression", "gzip")
+        if slots:
+            writer = writer.partitionBy(*slots).option("partitionOverwriteMode", "dynamic")
+        writer.parquet(out)
 
 
 def export_and_check(spark: SparkSession, table: str, days: DataFrame, folder: str, root: str) -> DataFrame:
-    """Export each of ``days`` whose export is missing or short, then report what is still so.
+    """Export those of ``days`` whose export is missing or short, in one job, then report what is still so.
 
-    ``days`` is a look-back list; each export reads one day's partition.
+    ``days`` is a look-back list; only the partitions of stale days are read.
     """
-    stale = export_needs_update(spark, days, folder, root).where("needs_update").orderBy("data_date")
-    for row in stale.collect():
-        dated_export(read_table_day(spark, table, row.data_date), folder, root, row.data_date)
+    stale = export_needs_update(spark, days, folder, root).where("needs_update").select("data_date")
+    wanted = [row["data_date"] for row in stale.collect()]  # at most the look-back list
+    if wanted:
+        export_days(spark.table(table).where(F.col("data_date").isin(wanted)), folder, root)
     return export_needs_update(spark, days, folder, root)

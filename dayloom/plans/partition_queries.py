@@ -6,12 +6,15 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from dayloom.operators.export import dated_export
 from dayloom.operators.gates import (
     day_row_gate as rows_complete, partition_inventory as inventory, partition_size_gate as sizes_complete,
 )
 from dayloom.operators.lookback import lookback_union as lookback
+from dayloom.operators.gates import BY_DIRECTORY, path_day
 from dayloom.operators.partitions import (
-    drop_days, replace_days, retention_keep as retain, table_location, write_hourly_slots,
+    backfill_missing_folders, drop_days, replace_days, replace_folders, retention_keep as retain, retention_keep_folders,
+    table_location, write_days, write_hourly_slots,
 )
 from dayloom.plans.inputs import (
     AS_OF, DAILY_ACTIVITY_SQL, activity_table, daily_activity, dated_events, events_by_day,
@@ -19,6 +22,7 @@ from dayloom.plans.inputs import (
 from dayloom.plans.jobs import daily_backfill, export_and_check
 from dayloom.plans.registry import query
 from dayloom.session import read_given, scratch_database, scratch_folder
+from dayloom.sources.paths import delete
 from dayloom.sources.tables import lookback_days
 
 _EVENT_COLUMNS = "event_id, ts, user_id, event_type, value, props"
@@ -31,20 +35,41 @@ def lookback_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookback(spark, table_location(spark, events_by_day(spark, sf_dir)), AS_OF, 7)
 
 
-@query("SELECT CAST(ts AS DATE) AS data_date, count(*) >= 5 AS complete FROM events GROUP BY 1")
+@query("SELECT CAST(ts AS DATE) AS data_date, count(*) >= 5 AS complete FROM events WHERE event_id % 70 = 0 GROUP BY 1")
 def day_row_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows_complete(spark.table(events_by_day(spark, sf_dir)))
+    # about one row in 70 stays, so some days are short
+    return rows_complete(spark.table(events_by_day(spark, sf_dir)).where("event_id % 70 = 0"))
 
 
-@query("SELECT DISTINCT CAST(ts AS DATE) AS data_date, true AS complete FROM events")
+_THIN_BYTES = 5120  # more than the files of a day with one row, less than those of any other
+
+
+def _thinned(spark: SparkSession, sf_dir: str) -> str:
+    """Location of a table in which every fourth day has but one row; each row takes half a kilobyte."""
+    events = dated_events(spark, sf_dir).select("data_date", "event_id")
+    thin = F.dayofmonth("data_date") % 4 == 0
+    single = events.where(thin).groupBy("data_date").agg(F.min("event_id").alias("event_id"))
+    padding = F.concat(*[F.sha2(F.concat(F.col("event_id").cast("string"), F.lit(f"-{i}")), 512) for i in range(4)])
+    rows = events.where(~thin).union(single).withColumn("padding", padding)
+    table = f"{scratch_database(spark)}.thinned"
+    write_days(rows, table)
+    return table_location(spark, table)
+
+
+@query("SELECT DISTINCT CAST(ts AS DATE) AS data_date, day(ts) % 4 <> 0 AS complete FROM events")
 def partition_size_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sizes_complete(spark, table_location(spark, events_by_day(spark, sf_dir)))
+    return sizes_complete(spark, _thinned(spark, sf_dir), _THIN_BYTES)
 
 
-@query("SELECT CAST(ts AS DATE) AS data_date, count(*) AS n_rows, true AS has_files FROM events GROUP BY 1")
+@query("""
+    SELECT data_date, CASE WHEN day(data_date) % 4 = 0 THEN 1 ELSE n END AS n_rows, day(data_date) % 4 <> 0 AS large
+    FROM (SELECT CAST(ts AS DATE) AS data_date, count(*) AS n FROM events GROUP BY 1)
+    WHERE data_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-09'""")
 def partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = inventory(spark, table_location(spark, events_by_day(spark, sf_dir)))
-    return days.select("data_date", "n_rows", (F.col("n_files") > 0).alias("has_files"))
+    # the first of the days asked for is absent
+    asked = [date(2023, 12, 31), *(date(2024, 1, day) for day in range(3, 10))]
+    days = inventory(spark, _thinned(spark, sf_dir), asked)
+    return days.select("data_date", "n_rows", (F.col("bytes") > _THIN_BYTES).alias("large"))
 
 
 @query(f"""
@@ -52,9 +77,12 @@ def partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (SELECT CAST(unnest(range(DATE '2024-01-28', DATE '2024-02-02', INTERVAL 1 DAY)) AS DATE) AS data_date)
     LEFT JOIN (SELECT CAST(ts AS DATE) AS data_date, count(*) AS n FROM events GROUP BY 1) USING (data_date)""")
 def export_needs_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the last two days are not in the table, so their exports stay short
-    days = lookback_days(spark, date(2024, 2, 2), 5)
-    return export_and_check(spark, events_by_day(spark, sf_dir), days, scratch_folder(spark), "events")
+    # the last two days are not in the table, so their exports stay short; one export is older than the range, and
+    # one in it was never committed
+    days, folder = lookback_days(spark, date(2024, 2, 2), 5), scratch_folder(spark)
+    dated_export(spark.range(9), folder, "events", date(2024, 1, 2))
+    delete(spark, dated_export(spark.range(9), folder, "events", date(2024, 2, 1)) + "/_SUCCESS")
+    return export_and_check(spark, events_by_day(spark, sf_dir), days, folder, "events")
 
 
 @query(f"SELECT * FROM ({DAILY_ACTIVITY_SQL}) WHERE data_date <> DATE '2024-01-10'")
@@ -101,12 +129,28 @@ def backfill_missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+@query(f"""
+    SELECT * FROM ({DAILY_ACTIVITY_SQL}) WHERE data_date < DATE '2024-01-30' AND data_date >= DATE '2024-01-10'""")
+def backfill_missing_folders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a dataset with one folder per day, two of which are missing."""
+    root, source = scratch_folder(spark), spark.table(events_by_day(spark, sf_dir))
+    there = "data_date < '2024-01-30' AND data_date NOT IN ('2024-01-25', '2024-01-26')"
+    replace_folders(daily_activity(source.where(there)), root)
+    backfill_missing_folders(root, source, daily_activity, AS_OF, n_lookback=7, min_bytes=0)
+    retention_keep_folders(spark, root, AS_OF, keep_days=20)
+    rows = spark.read.option("recursiveFileLookup", True).parquet(root)
+    return rows.withColumn("data_date", path_day(BY_DIRECTORY, F.col("_metadata.file_path")))
+
+
 @query("""
     SELECT CAST(ts AS DATE) AS data_date, CAST(hour(ts) AS INTEGER) AS hr, count(*) AS n, max(event_id) AS last_event
     FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY ALL""")
 def hourly_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{scratch_database(spark)}.events_by_slot"
     first_day = AS_OF - timedelta(days=29)
-    write_hourly_slots(read_given(spark, sf_dir, "events"), table, "ts", first_day, AS_OF)
+    # the second range overlaps the first one, and leaves the rest of it
+    middle = first_day + timedelta(days=12)
+    write_hourly_slots(read_given(spark, sf_dir, "events"), table, "ts", first_day, middle)
+    write_hourly_slots(read_given(spark, sf_dir, "events"), table, "ts", middle, AS_OF)
     slots = spark.table(table).groupBy("data_date", "hr")
     return slots.agg(F.count("*").alias("n"), F.max("event_id").alias("last_event"))

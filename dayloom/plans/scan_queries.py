@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from dayloom.operators.export import (
-    csv_export, dated_export as export_day, parquet_overwrite_gzip as write_gzip, single_file_export as export_one,
+    csv_export, dated_export as export_day, ordered_export, parquet_overwrite_gzip as write_gzip,
 )
 from dayloom.operators.gates import count_rows as count_all
 from dayloom.plans.inputs import AS_OF, events_by_day, feature_file, zone_frame, FEATURE_LINE, ZONE_CTE
 from dayloom.plans.registry import query
-from dayloom.session import read_given, scratch_folder
+from dayloom.session import read_given, scratch_database, scratch_folder
 from dayloom.sources.files import read_csv, read_csv_columns, read_parquet, read_tsv
 from dayloom.sources.tables import empty_like, first_available, preview, read_table, read_table_day
 
@@ -54,6 +54,11 @@ def limit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT 1 AS source_idx, o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
 def first_available_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the first candidate is a view whose table is gone
+    database = scratch_database(spark)
+    read_given(spark, sf_dir, "region").write.saveAsTable(f"{database}.gone")
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW dayloom_candidate_0 AS SELECT * FROM {database}.gone")
+    spark.sql(f"DROP TABLE {database}.gone")
     read_given(spark, sf_dir, "orders").createOrReplaceTempView("dayloom_candidate_1")
     position, rows = first_available(spark, [f"dayloom_candidate_{i}" for i in range(4)])
     counts = rows.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
@@ -104,12 +109,40 @@ def dated_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
 def single_file_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark)
-    export_one(read_given(spark, sf_dir, "orders"), path, "o_orderkey")
+    ordered_export(read_given(spark, sf_dir, "orders"), path, "o_orderkey")
     return read_csv(spark, path, schema=_ORDER_SCHEMA)
 
 
+@query("""
+    SELECT o_orderkey, o_orderpriority,
+           coalesce(lag(o_orderpriority) OVER (ORDER BY o_orderpriority) > o_orderpriority, false) AS falls_back
+    FROM orders""")
+def ordered_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few keys, each over several parts; no row may fall back behind the last one of the part before."""
+    path = scratch_folder(spark)
+    orders = read_given(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    ordered_export(orders, path, "o_orderpriority")
+    schema = "o_orderkey bigint, o_orderpriority string"
+    rows = read_csv(spark, path, schema=schema).select("*", F.col("_metadata.file_name").alias("part"))
+    ends = rows.groupBy("part").agg(F.min("o_orderpriority").alias("low"), F.max("o_orderpriority").alias("high"))
+    # one row per part
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    falls = ends.select("part", F.coalesce(F.max("high").over(before) > F.col("low"), F.lit(False)).alias("falls_back"))
+    return rows.join(falls, "part").drop("part")
+
+
 @query(f"SELECT {_EVENT_COLUMNS} FROM events")
 def parquet_overwrite_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark)
     write_gzip(read_given(spark, sf_dir, "events"), path)
     return read_parquet(spark, path)
+
+
+@query("SELECT event_type, count(*) AS n, 3 AS n_files FROM events GROUP BY event_type")
+def parquet_n_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_folder(spark)
+    write_gzip(read_given(spark, sf_dir, "events"), path, n_files=3)
+    rows = read_parquet(spark, path).select("event_type", F.col("_metadata.file_name").alias("file"))
+    n_files = rows.select("file").distinct().count()
+    counts = rows.groupBy("event_type").agg(F.count("*").alias("n"))
+    return counts.withColumn("n_files", F.lit(n_files))

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dayloom.sources import paths
+
 _LOCAL_SCRATCH: list[tempfile.TemporaryDirectory] = []
+# what this process made under shared folders and has not deleted yet: paths, and databases in them
+_FOLDERS: list[str] = []
+_DATABASES: list[str] = []
 
 
 def local_session(app: str, cores: str = "*", **conf: str) -> SparkSession:
@@ -34,21 +42,30 @@ def scratch_folder(spark: SparkSession) -> str:
     """A fresh folder that every executor can reach.
 
     It lies under ``spark.checkpoint.dir``. Where that is unset, only a local session gets a temporary
-    folder, removed at exit: on a cluster the executors would each write to a disk of their own.
+    folder, removed at exit: on a cluster the executors would each write to a disk of their own, as they would
+    for a ``file:`` setting. ``scratch_scope`` deletes folders when a job ends, the end of the process the others.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
+    if not local and (not shared or shared.startswith(("file:", "/")) and _default_is_local(spark, shared)):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         _LOCAL_SCRATCH.append(tempfile.TemporaryDirectory(prefix="dayloom-"))
         shared = _LOCAL_SCRATCH[-1].name
-    return f"{shared.rstrip('/')}/dayloom-{uuid.uuid4().hex}"
+    _FOLDERS.append(f"{shared.rstrip('/')}/dayloom-{uuid.uuid4().hex}")
+    return _FOLDERS[-1]
+
+
+def _default_is_local(spark: SparkSession, path: str) -> bool:
+    """A path without a scheme is local only where the cluster's default file system is."""
+    return path.startswith("file:") or spark.conf.get("spark.hadoop.fs.defaultFS", "file:").startswith("file:")
 
 
 def scratch_database(spark: SparkSession) -> str:
     """A new database located in the scratch folder, so that its managed tables are shared too."""
     name = f"dayloom_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_folder(spark)}'")
+    _DATABASES.append(name)
     return name
 
 
@@ -60,3 +77,28 @@ def stored(df: DataFrame) -> DataFrame:
     path = scratch_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what was stored in the body when it ends, also by an error. Its results must be written by then."""
+    folders, databases = len(_FOLDERS), len(_DATABASES)
+    try:
+        yield
+    finally:
+        _clean(spark, folders, databases)
+
+
+def _clean(spark: SparkSession, folders: int = 0, databases: int = 0) -> None:
+    while len(_DATABASES) > databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {_DATABASES.pop()} CASCADE")
+    while len(_FOLDERS) > folders:
+        paths.delete(spark, _FOLDERS.pop())
+
+
+@atexit.register
+def _clean_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _FOLDERS else None
+    if spark is not None:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            _clean(spark)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -30,10 +31,17 @@ def preview(df: DataFrame, n: int, *order_by: str) -> DataFrame:
 
 
 def first_available(spark: SparkSession, names: Sequence[str]) -> tuple[int, DataFrame | None]:
-    """Position and rows of the first name in the catalog; (len(names), None) when there is none."""
+    """Position and rows of the first name that can be read; (len(names), None) when there is none.
+
+    A name that the catalog lacks or whose definition no longer holds, such as a view over a dropped table, is passed over.
+    """
     for position, name in enumerate(names):
-        if spark.catalog.tableExists(name):
-            return position, spark.table(name)
+        try:
+            found = spark.table(name)
+            found.schema  # noqa: B018  (analyses the table)
+        except AnalysisException:
+            continue
+        return position, found
     return len(names), None
 
 
