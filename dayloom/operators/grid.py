@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dayloom.functions.dates import DAYS_PER_WEEK, HOURS_PER_DAY, SLOTS_PER_WEEK, hour_of_day, iso_dow
+from dayloom.operators.joins import fits_broadcast
+from dayloom.session import stored
 
 # A user's taken slots are one bit each in three bigints of 56 bits.
 _WORD_BITS = 56
@@ -64,15 +66,16 @@ def fill_24_7(facts: DataFrame, uids: DataFrame | None = None, fill_value: int |
     replaces every NULL measure).
 
     The facts are not shuffled: what goes over the network is one 168-bit set of taken slots per user and
-    task, from which each user's free slots are generated. A hot user thus costs no more than any other.
+    task, from which each user's free slots are generated. A hot user thus costs no more than any other. Given
+    ``uids`` are stored and measured; if they are too many to broadcast, the facts are shuffled on ``uid``.
     """
     measures = [c for c in facts.columns if c not in ("uid", "dow", "hr")]
     kept = facts.where(_on_grid())
     slotted = facts.select("uid", F.when(_on_grid(), _slot()).alias("slot"))
     taken = slotted.groupBy("uid").agg(*_taken_words(F.col("slot").isNotNull()))
     if uids is not None:
-        listed = uids.select("uid").distinct()
-        kept = kept.join(listed, "uid", "left_semi")
+        listed = stored(uids.select("uid").distinct())
+        kept = kept.join(F.broadcast(listed) if fits_broadcast(listed) else listed, "uid", "left_semi")
         taken = listed.join(taken, "uid", "left").na.fill(0, _WORDS)
     filled = kept.select("uid", *_grid_columns(), *measures).unionByName(
         _free_slots(taken), allowMissingColumns=True

@@ -97,7 +97,7 @@ def join_broadcast_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS place FROM orders)
     WHERE place = 1""")
 def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_per_key(read_given(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey")
+    return first_per_key(read_given(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey", unique=True)
 
 
 @query("""
