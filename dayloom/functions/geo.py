@@ -13,10 +13,11 @@ from pyspark.sql import Column, functions as F
 
 from dayloom.functions.text import decimal_coord
 
-# Micro-degrees per degree, and the largest vertex coordinate for which all products of
-# differences stay within a bigint.
+# Fixed value: micro-degrees per degree.
 MICRO = 1_000_000
-MAX_COORD = 500 * MICRO
+# A zone may lie anywhere that decimal(10,6) reaches, but no wider or higher than this: then all products of
+# differences stay within a bigint.
+MAX_EXTENT = 1000 * MICRO
 
 _GEOMETRY_SCHEMA = "type string, coordinates string"
 _POLYGON = "array<array<array<string>>>"
@@ -49,8 +50,7 @@ def st_geom_from_geojson(geometry: Column | str) -> Column:
         return st_point(F.get(pair, F.lit(0)), F.get(pair, F.lit(1)))
 
     def usable(point: Column) -> Column:
-        # coalesce: a coordinate that did not parse is as bad as one out of range
-        return F.coalesce((F.abs(point["x"]) <= MAX_COORD) & (F.abs(point["y"]) <= MAX_COORD), F.lit(False))
+        return point["x"].isNotNull() & point["y"].isNotNull()
 
     def checked(shape: Column) -> Column:
         vertices = F.flatten(F.flatten(shape))
@@ -86,12 +86,15 @@ def edge_test(x: Column, y: Column, edges: Column) -> Column:
     """
 
     def step(state: Column, e: Column) -> Column:
+        # reached only for points within the edge's box, where the products stay small
         side = (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])  # > 0: edge passes right
-        on_edge = (side == 0) & (x >= F.least(e["ax"], e["bx"])) & (x <= F.greatest(e["ax"], e["bx"]))
+        left, right = F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])
+        below_top = y < e["by"]
         return (
-            F.when((y < e["ay"]) | (y > e["by"]) | (state == 2), state)
-            .when(on_edge, F.lit(2))
-            .when((y < e["by"]) & (side > 0), F.lit(1) - state)
+            F.when((y < e["ay"]) | (y > e["by"]) | (x > right) | (state == 2), state)
+            .when(x < left, F.when(below_top, F.lit(1) - state).otherwise(state))
+            .when(side == 0, F.lit(2))
+            .when(below_top & (side > 0), F.lit(1) - state)
             .otherwise(state)
         )
 

@@ -15,18 +15,20 @@ the same for all points of a cell, so it is settled when the cell is made (``bas
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dayloom.functions.geo import MAX_COORD, micro
-from dayloom.operators.dedup import dedup_first
-from dayloom.operators.joins import BROADCAST_BYTES
+from dayloom.functions.geo import micro
+from dayloom.operators.joins import BROADCAST_BYTES, fits_broadcast
 from dayloom.operators.sets import union_all
 from dayloom.session import stored
 
-# Coordinates are shifted by 2^30 (more than MAX_COORD) to 31-bit naturals.
-_BITS = 31
+# Coordinates are shifted by 2^34 (more than decimal(10,6) reaches) to 35-bit naturals. Cells of 2^4 units and more leave
+# room for both indexes and the marker in a bigint.
+_BITS = 35
 _SHIFT = 1 << (_BITS - 1)
+_LEAST_LEVEL = 4
 # First cells: at most about this many along a zone's longer side.
 _FIRST_SIDE = 4
 # A cell with more edges is split, at most this often; each split halves its side twice.
@@ -34,11 +36,11 @@ _FEW_EDGES = 4
 _SPLITS = 3
 # Out of reach of any coordinate.
 _FAR = 1 << 40
-# What the test of a point needs of an edge, and the values of one that never counts: the line is
-# run * y - rise * x = offset, between heights `low` and `high` and between `left` and `right`; `end_a` and
-# `end_b` are the heights of its ends that lie right of the cell.
+# What the test of a point needs of an edge, and the values of one that never counts: the line goes `run` to the right and
+# `rise` up from (`foot`, `low`), ends at height `high` and lies between `left` and `right`; `end_a` and `end_b` are the
+# heights of its ends that lie right of the cell. Products are taken of differences from the foot, which are small.
 _IDLE = {
-    "run": 0, "rise": 0, "offset": 0, "low": _FAR, "high": -_FAR, "left": 0, "right": 0, "end_a": -_FAR, "end_b": -_FAR,
+    "run": 0, "rise": 0, "foot": 0, "low": _FAR, "high": -_FAR, "left": 0, "right": 0, "end_a": -_FAR, "end_b": -_FAR,
 }
 # Rough memory of a cell row, with its places for a few edges, and of one edge of a crowded cell.
 _EDGE_BYTES = 8 * len(_IDLE)
@@ -113,7 +115,7 @@ def _narrow(cells: DataFrame, stays: Column) -> DataFrame:
 def _first_cells(zones: DataFrame) -> DataFrame:
     side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) + 1
     # only even levels, to keep the number of look-ups per point small
-    level = F.greatest(F.lit(0), F.ceil(F.log2(side / _FIRST_SIDE) / 2) * 2).cast("int")
+    level = F.greatest(F.lit(_LEAST_LEVEL), F.ceil(F.log2(side / _FIRST_SIDE) / 2) * 2).cast("int")
 
     def starts(first: str, last: str) -> Column:
         return F.explode(F.expr(
@@ -132,7 +134,7 @@ def _first_cells(zones: DataFrame) -> DataFrame:
 
 def _split(cells: DataFrame) -> DataFrame:
     """Crowded cells become 16, others stay (part -1), and cells wholly outside their zone go."""
-    crowded = (F.size("edges") > _FEW_EDGES) & (F.col("level") >= 2)
+    crowded = (F.size("edges") > _FEW_EDGES) & (F.col("level") >= _LEAST_LEVEL + 2)
     parts = F.when(crowded, F.sequence(F.lit(0), F.lit(15))).when(_may_hold(), F.array(F.lit(-1)))
     split = cells.withColumn("part", F.explode(parts))
     quarter = "shiftleft(1L, level - 2)"
@@ -160,7 +162,7 @@ def _edge_values(e: Column) -> Column:
         for p in "ab"
     }
     values = {
-        "run": run, "rise": rise, "offset": run * e["ay"] - rise * e["ax"], "low": e["ay"], "high": e["by"],
+        "run": run, "rise": rise, "foot": e["ax"], "low": e["ay"], "high": e["by"],
         "left": F.least(e["ax"], e["bx"]), "right": F.greatest(e["ax"], e["bx"]), **ends,
     }
     return F.struct(*[values[name].alias(name) for name in _IDLE])
@@ -169,7 +171,7 @@ def _edge_values(e: Column) -> Column:
 def zone_cells(zones: DataFrame) -> DataFrame:
     """One row per zone and cell that can hold an inner point.
 
-    (zip, level, cell, base, n_edges, crowd) and the values of the first few edges as plain columns; ``crowd``
+    (zip, level, left, low, cell, base, n_edges, crowd) and the values of the first few edges as plain columns; ``crowd``
     lists all edges of a cell that has more. ``zones`` are rows of ``zone_table``. They are dealt out over all
     cores first: there are few of them, in few partitions, but each takes a while.
     """
@@ -178,7 +180,7 @@ def zone_cells(zones: DataFrame) -> DataFrame:
         cells = _split(cells)
     held = cells.withColumn("_held", F.explode(F.when(_may_hold(), F.array(F.lit(True)))))
     listed = held.select(
-        "zip", "level", _cell_id("left", "low", "level").alias("cell"), "base",
+        "zip", "level", "left", "low", _cell_id("left", "low", "level").alias("cell"), "base",
         F.size("edges").alias("n_edges"), F.transform("edges", _edge_values).alias("edges"),
     )
     places = [
@@ -186,12 +188,12 @@ def zone_cells(zones: DataFrame) -> DataFrame:
         for i in range(_FEW_EDGES) for name, idle in _IDLE.items()
     ]
     crowd = F.when(F.col("n_edges") > _FEW_EDGES, F.col("edges")).alias("crowd")
-    return listed.select("zip", "level", "cell", "base", "n_edges", crowd, *places)
+    return listed.select("zip", "level", "left", "low", "cell", "base", "n_edges", crowd, *places)
 
 
 def _edge_test(edge: Mapping[str, Column] | Column, x: Column, y: Column) -> tuple[Column, Column]:
     """Is the point on the edge, and does the edge flip the point's side?"""
-    side = edge["run"] * y - edge["rise"] * x - edge["offset"]  # > 0: the edge passes right of the point
+    side = edge["run"] * (y - edge["low"]) - edge["rise"] * (x - edge["foot"])  # > 0: the edge passes right of the point
     level_with = (y >= edge["low"]) & (y <= edge["high"])
     on_edge = level_with & (side == 0) & (x >= edge["left"]) & (x <= edge["right"])
     crossed = level_with & (y < edge["high"]) & (side > 0)
@@ -220,21 +222,39 @@ def _inside(x: Column, y: Column, most_edges: int) -> Column:
     return F.when(F.col("n_edges") > _FEW_EDGES, F.aggregate("crowd", F.col("base"), step) == 1).otherwise(few)
 
 
-def _levels_by_size(cells: DataFrame, max_bytes: int) -> tuple[list[int], list[int], int]:
-    """Levels whose cell tables together stay within ``max_bytes``, smallest first; the others; most edges of a cell."""
-    crowd = F.when(F.col("n_edges") > _FEW_EDGES, F.col("n_edges")).otherwise(0)
-    weight = F.count("*") * _CELL_BYTES + F.sum(crowd) * _EDGE_BYTES
-    # one row per level: at most 16
-    sizes = cells.groupBy("level").agg(weight.alias("bytes"), F.max("n_edges").alias("most")).collect()
-    small, large, total = [], [], 0
-    for row in sorted(sizes, key=lambda r: r.bytes):
-        total += row.bytes
-        (small if total <= max_bytes else large).append(row.level)
-    return small, large, max((row.most for row in sizes), default=0)
+class Cells(NamedTuple):
+    """Stored cells of a set of zones, measured once; any number of joins can use them."""
 
+    rows: DataFrame
+    bytes_by_level: dict[int, int]
+    most_edges: int
+    box: tuple[int, int, int, int] | None  # left, right, low, high of all cells; None without cells
 
-def _reachable(value: Column) -> Column:
-    return F.when(F.abs(value) <= MAX_COORD, value)
+    def split(self, max_bytes: int) -> tuple[list[int], list[int]]:
+        """Levels whose cell tables together stay within ``max_bytes``, smallest first, and the others."""
+        small, large, total = [], [], 0
+        for level, size in sorted(self.bytes_by_level.items(), key=lambda item: item[1]):
+            total += size
+            (small if total <= max_bytes else large).append(level)
+        return small, large
+
+
+def measured_cells(zones: DataFrame) -> Cells:
+    """The cells of ``zones``, stored in the scratch folder."""
+    rows = stored(zone_cells(zones))
+    crowd = F.when(F.col("n_edges") > _FEW_EDGES, F.col("n_edges")).otherwise(0)
+    names = F.coalesce(F.octet_length("zip"), F.lit(0))
+    size = F.count("*") * _CELL_BYTES + F.sum(crowd) * _EDGE_BYTES + F.sum(names)
+    side = F.expr("shiftleft(1L, level) - 1")
+    # one row per level: at most 16
+    levels = rows.groupBy("level").agg(
+        size.alias("bytes"), F.max("n_edges").alias("most"), F.min("left").alias("left"), F.min("low").alias("low"),
+        F.max(F.col("left") + side).alias("right"), F.max(F.col("low") + side).alias("high"),
+    ).collect()
+    if not levels:
+        return Cells(rows, {}, 0, None)
+    box = min(r.left for r in levels), max(r.right for r in levels), min(r.low for r in levels), max(r.high for r in levels)
+    return Cells(rows, {r.level: r.bytes for r in levels}, max(r.most for r in levels), box)
 
 
 def _with_cells(points: DataFrame, levels: Sequence[int]) -> DataFrame:
@@ -242,9 +262,14 @@ def _with_cells(points: DataFrame, levels: Sequence[int]) -> DataFrame:
     return points.withColumn("cell", ids[0] if len(ids) == 1 else F.explode(F.array(*ids)))
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    """The columns as what a hash can take: maps go as text."""
+    return [F.to_json(f"`{c}`") if "map<" in kind else F.col(f"`{c}`") for c, kind in df.dtypes]
+
+
 def spatial_within_join(
     points: DataFrame,
-    zones: DataFrame,
+    zones: DataFrame | Cells,
     lon: str = "LONGITUDE",
     lat: str = "LATITUDE",
     max_bytes: int = BROADCAST_BYTES,
@@ -252,38 +277,56 @@ def spatial_within_join(
 ) -> DataFrame:
     """Every point with the ``zip`` of every zone it lies strictly within; points may be in several or none.
 
-    Points whose coordinates do not read as decimal(10,6) match nothing. The cell tables of as many levels as
-    fit ``max_bytes`` are broadcast, and the points then stay where they are. Larger levels are joined one
-    by one by shuffle, with each cell split into ``salt`` keys so that a crowded place is shared by
-    several tasks before adaptive execution splits it further.
+    ``zones`` is a zone table or its ``measured_cells``. Points may have columns of any name but ``zip``; those whose
+    coordinates do not read as decimal(10,6) match nothing, and those outside of the box of all zones are dropped
+    before they are looked up. The cell tables of as many levels as fit ``max_bytes`` are broadcast, and the points
+    then stay where they are. All larger levels are joined by one scan and one shuffle of the points on cell and
+    grain: each cell is split into ``salt`` keys, so that a crowded place is shared by several tasks before adaptive
+    execution splits it further.
     """
-    cells = stored(zone_cells(zones))
-    small, large, most_edges = _levels_by_size(cells, max_bytes)
-    # out of reach of every zone: NULL, which meets no cell; a filter here would parse each coordinate twice
-    placed = points.withColumns({"_x": _reachable(micro(lon)), "_y": _reachable(micro(lat))})
-
+    if "zip" in points.columns:
+        raise ValueError("the points have a column zip, which is the name of the zone that the join adds")
+    cells = zones if isinstance(zones, Cells) else measured_cells(zones)
+    small, large = cells.split(max_bytes)
+    if cells.box is None:
+        return points.where(F.lit(False)).withColumn("zip", F.lit(None).cast("string"))
+    # a point is one column, so no column of its can meet one of the cells
+    point = F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("_point")
+    grain = F.pmod(F.xxhash64(*_hashable(points)), F.lit(salt)).alias("_grain")
+    placed = points.select(point, micro(lon).alias("_x"), micro(lat).alias("_y"), *([grain] if large else []))
+    left, right, low, high = cells.box
+    placed = placed.where(F.col("_x").between(left, right) & F.col("_y").between(low, high))
+
+    table = cells.rows.drop("left", "low")
     parts = []
     if small:
-        table = F.broadcast(cells.where(F.col("level").isin(small)).drop("level"))
-        parts.append(_with_cells(placed, small).join(table, "cell"))
-    for level in large:
-        grain = F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)).alias("_grain")
+        side = F.broadcast(table.where(F.col("level").isin(small)).drop("level"))
+        parts.append(_with_cells(placed, small).join(side, "cell"))
+    if large:
         every_grain = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))).alias("_grain")
-        table = cells.where(F.col("level") == level).drop("level").select("*", every_grain)
-        parts.append(_with_cells(placed, [level]).select("*", grain).join(table, ["cell", "_grain"]))
-    if not parts:
-        return points.where(F.lit(False)).withColumn("zip", F.lit(None).cast("string"))
-    inside = _inside(F.col("_x"), F.col("_y"), most_edges)
-    return union_all([part.where(inside).select(*points.columns, "zip") for part in parts])
+        side = table.where(F.col("level").isin(large)).drop("level").select("*", every_grain)
+        parts.append(_with_cells(placed, large).join(side, ["cell", "_grain"]))
+    inside = _inside(F.col("_x"), F.col("_y"), cells.most_edges)
+    return union_all([part.where(inside).select("_point.*", "zip") for part in parts])
 
 
 def spatial_first_per_zone(
     points: DataFrame,
-    zones: DataFrame,
+    zones: DataFrame | Cells,
     point_id: str,
     lon: str = "LONGITUDE",
     lat: str = "LATITUDE",
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Of the points within each zone (and each value of ``by``) the one with the smallest id."""
-    return dedup_first(spatial_within_join(points, zones, lon, lat), ["zip", *by], point_id)
+    """Of the points within each zone (and each value of ``by``) the one with the smallest id; ids are unique.
+
+    Only ids, ``by`` and coordinates go through the zone join and the aggregate, which is by hash for numeric ids. The
+    chosen points, at most one per zone and value of ``by``, are stored and then fetch the rest of their rows by a
+    join, in which they are broadcast if they measure small.
+    """
+    names = list(dict.fromkeys([point_id, *by, lon, lat]))
+    hits = spatial_within_join(points.select(*[F.col(f"`{c}`") for c in names]), zones, lon, lat)
+    first = hits.groupBy(*[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)], "zip").agg(F.min(point_id).alias("_first"))
+    chosen = stored(first)
+    side = F.broadcast(chosen) if fits_broadcast(chosen) else chosen
+    return points.join(side, F.col(f"`{point_id}`") == F.col("_first")).select(*[points[f"`{c}`"] for c in points.columns], "zip")

@@ -8,12 +8,12 @@ from dayloom.functions.geo import edges_of, st_geom_from_geojson as geom_from_ge
 from dayloom.functions.text import clean_geometry, feature, feature_zip
 from dayloom.operators.spatial import spatial_first_per_zone as first_per_zone, spatial_within_join as within_join
 from dayloom.plans.inputs import (
-    EVENT_POINT_CTE, ITEM_POINT_CTE, SHAPES, ZONE_CTE, degrees, event_points, feature_file, geometry_sql, hit_cte,
-    item_points, zone_frame,
+    EVENT_POINT_CTE, ITEM_POINT_CTE, ITEM_X, ITEM_Y, SHAPES, ZONE_CTE, degrees, event_points, feature_file, geometry_sql,
+    hit_cte, item_points, lattice_x, spark_expr, zone_frame,
 )
 from dayloom.plans.jobs import zone_assignment as assign_zones
 from dayloom.plans.registry import query
-from dayloom.session import scratch_folder
+from dayloom.session import read_given, scratch_folder
 from dayloom.sources.files import read_csv_columns, read_parquet, read_tsv
 from dayloom.sources.zones import zone_table, zone_texts
 
@@ -120,9 +120,28 @@ def zone_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     target_path, out = scratch_folder(spark), scratch_folder(spark)
     targets = zone_frame(spark, sf_dir).where("s_suppkey % 2 = 0")
     targets.select("zip", "s_name").write.option("header", True).csv(target_path)
-    assign_zones(
-        read_tsv(spark, feature_file(spark, sf_dir)),
-        read_csv_columns(spark, target_path, "zip"),
-        event_points(spark, sf_dir), out, "event_id", ["data_date", "hr"],
-    )
+    features, points = read_tsv(spark, feature_file(spark, sf_dir)), event_points(spark, sf_dir)
+    # a run per half of the days; the second leaves what the first one wrote
+    for half in ("data_date < '2024-01-16'", "data_date >= '2024-01-16'"):
+        names = read_csv_columns(spark, target_path, "zip")
+        assign_zones(features, names, points.where(half), out, "event_id", ["data_date", "hr"])
     return read_parquet(spark, out)
+
+
+_FAR = 3_000_000_000
+_FAR_CTE = hit_cte(ITEM_POINT_CTE.replace(ITEM_X, f"({ITEM_X} + {_FAR})")).replace(
+    f"{lattice_x('s_suppkey')} AS zx", f"{lattice_x('s_suppkey')} + {_FAR} AS zx"
+)
+
+
+@query(f"WITH {_FAR_CTE} SELECT l_orderkey, l_linenumber, zip AS cell, CAST(x AS BIGINT) AS base FROM hit JOIN point USING (point_id, x)")
+def spatial_far_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones 3,000 degrees to the east, and points with columns that are named like those of cells."""
+    shifted = zone_frame(spark, sf_dir).withColumn("zx", F.col("zx") + F.lit(_FAR))
+    zones = zone_table(shifted.select("zip", spark_expr(_CLEAN).alias("geometry")))
+    points = read_given(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.lit("mine").alias("cell"), spark_expr(f"{ITEM_X} + {_FAR}").alias("base"),
+        spark_expr(degrees(f"{ITEM_X} + {_FAR}")).alias("LONGITUDE"), spark_expr(degrees(ITEM_Y)).alias("LATITUDE"),
+    )
+    found = within_join(points, zones).where("cell = 'mine'")
+    return found.select("l_orderkey", "l_linenumber", F.col("zip").alias("cell"), F.col("base").cast("bigint").alias("base"))

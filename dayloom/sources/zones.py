@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from dayloom.functions.geo import edges_of, st_geom_from_geojson
+from dayloom.functions.geo import MAX_EXTENT, MICRO, edges_of, st_geom_from_geojson
 from dayloom.functions.text import clean_geometry, feature, feature_zip, is_castable
 from dayloom.operators.dedup import dedup_first
 from dayloom.operators.joins import join_broadcast_inner
@@ -25,10 +25,15 @@ def zone_texts(lines: DataFrame, targets: DataFrame | None = None, text_col: str
 
 
 def zone_table(texts: DataFrame) -> DataFrame:
-    """(zip, edges, x0, x1, y0, y1): edges and bounding box in micro-degrees; unreadable geometry is left out."""
-    shaped = texts.select("zip", edges_of(st_geom_from_geojson("geometry")).alias("edges")).where(F.size("edges") > 0)
+    """(zip, edges, x0, x1, y0, y1): edges and bounding box in micro-degrees.
+
+    A zone is never left out silently. An error names the zone whose geometry cannot be read, whose box is wider or
+    higher than 1,000 degrees, or that has an edge of more than 180 degrees of longitude, as a zone across the 180th
+    meridian has: split such a zone into two parts. A zone that is a single point has no edges and holds nothing.
+    """
+    shaped = texts.select("zip", edges_of(st_geom_from_geojson("geometry")).alias("edges"))
     xs = F.concat(F.col("edges.ax"), F.col("edges.bx"))
-    return shaped.select(
+    boxed = shaped.select(
         "zip",
         "edges",
         F.array_min(xs).alias("x0"),
@@ -36,3 +41,13 @@ def zone_table(texts: DataFrame) -> DataFrame:
         F.array_min(F.col("edges.ay")).alias("y0"),
         F.array_max(F.col("edges.by")).alias("y1"),
     )
+    wide = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) > MAX_EXTENT
+    crossing = F.exists("edges", lambda e: F.abs(e["bx"] - e["ax"]) > 180 * MICRO)
+    fault = (
+        F.when(F.col("edges").isNull(), "has no readable geometry")
+        .when(wide, "spans more than 1,000 degrees")
+        .when(crossing, "has an edge of more than 180 degrees: it seems to cross the 180th meridian")
+    )
+    error = F.raise_error(F.concat(F.lit("zone "), F.coalesce("zip", F.lit("NULL")), F.lit(" "), fault))
+    # the error stands in the column every user of the table reads
+    return boxed.withColumn("edges", F.when(fault.isNull(), F.col("edges")).otherwise(error.cast(shaped.schema["edges"].dataType)))
