@@ -25,6 +25,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from dayloom.session import stored
+
 DEPTH = 3
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -95,7 +97,7 @@ def masked_segments(path: Column) -> Column:
 
 def path_templates(counted: DataFrame, settings: Settings) -> DataFrame:
     """``counted(host, segments, n, good, bad)`` with ``template``."""
-    tree = counted.withColumn("template", F.lit(""))
+    tree = stored(counted.withColumn("template", F.lit("")))
     sums = [F.sum(c).alias(c) for c in ("n", "good", "bad")]
     node = ["host", "template"]
     for level in range(DEPTH + 1):
@@ -112,9 +114,10 @@ def path_templates(counted: DataFrame, settings: Settings) -> DataFrame:
         # a suffix such as .html is no variable part
         general = F.concat(F.lit("*"), F.regexp_extract("child", r"^\*(\.[A-Za-z]+)$", 1))
         named = children.join(whole, node).select(*node, "child", F.when(wild, general).otherwise(F.col("child")).alias("step"))
-        tree = tree.join(named, [*node, "child"], "left").withColumn(
+        # stored: each level reads the tree twice, and a plan of all levels would double with each
+        tree = stored(tree.join(named, [*node, "child"], "left").withColumn(
             "template", F.when(F.col("step").isNull(), F.col("template")).otherwise(F.concat_ws("/", "template", "step"))
-        ).drop("child", "step")
+        ).drop("child", "step"))
     return tree
 
 
