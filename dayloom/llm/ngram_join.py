@@ -10,12 +10,14 @@ The join is exact (up to equal 64-bit hashes of different shingles) and goes as
 3. *Prefixes.* Two sets of J >= t share at least l tokens among the first n - ceil(t n) + l of each. A second pass emits
    only those prefix tokens. They are shuffled by token, sorted, and tokens of a single set are dropped as they stream
    by.
-4. *Groups.* Every set is compared with the smallest set of each of its postings, one row per set and not all pairs.
-   The components of the links found are the groups: documents that are similar to one another.
+4. *Groups.* In each posting a set is compared with the smallest one and with the one before it: two rows per set and
+   not all pairs. The components of the links found are the groups: documents that are similar to one another.
 5. *Matrix.* Row (token, group) says that a member of the group has the token in its prefix: the group's token union.
    For a set and another group the count of shared tokens bounds from above what it shares with any one member, so only
    groups that reach l are opened. Members of an opened group are compared by size and by signature: in each bucket of
    odd difference at least one token differs, so more odd buckets than (1 - t) / (1 + t) (n1 + n2) rule a pair out.
+   Large groups are compared in blocks, of which only the pairs that remain become rows; and so are the sets of a token
+   of many groups, which leaves the matrix.
 6. *Check.* Pairs that are left are computed in full from both texts. A link between two members of one group is not
    looked for again, as it can change no component.
 
@@ -39,10 +41,14 @@ from dayloom.session import stored
 
 N_COMMON = 1 << 17  # shingles ordered last; fixes the size of what is sent to each executor
 COMMON_LEAST = 12  # documents, as counted, from which a shingle can be one of them
-_COUNTED = 4 << 20  # hashes a task gathers before it counts them
-_KEPT = 1 << 18  # shingles whose counts a task keeps
+_COUNTED = 2 << 20  # hashes a task gathers before it counts them
+_KEPT = 1 << 17  # shingles whose counts a task keeps
 _LANES = 16  # 64-bit words of a signature
 SHARED = 3  # l: prefix tokens that linked sets share at least, where they are long enough
+SMALL = 16  # members of a group that are compared by a join; larger ones block by block
+HOT = 128  # groups of a token from which on its sets are compared block by block
+BLOCK = 2048
+FEW = 500_000  # rows of three numbers that may be broadcast, 20 MB
 PERCENT = 75
 
 
@@ -77,6 +83,12 @@ class _Counter:
             self.tokens, self.counts = self.tokens[top], self.counts[top]
 
 
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column, few of them as Python strings at a time."""
+    for at in range(0, len(column), 256):
+        yield from column.slice(at, 256).to_pylist()
+
+
 def _signature(tokens: np.ndarray) -> bytes:
     odd = np.bincount((tokens & np.uint64(64 * _LANES - 1)).astype(np.int64), minlength=64 * _LANES) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
@@ -100,7 +112,7 @@ def shingle_sets(docs: DataFrame, seed: int) -> DataFrame:
         names = ["doc_id", "text_id", "set_id", "check_id", "n", "signature", "token", "times"]
         for batch in batches:
             out = []
-            for tokens in shingler.sets(batch.column(1).to_pylist()):
+            for tokens in shingler.sets(_texts(batch.column(1))):
                 counter.add(tokens)
                 out.append((*_keys(tokens), len(tokens), _signature(tokens)))
             made = [pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 4, kinds[2:])]
@@ -118,8 +130,16 @@ def shingle_sets(docs: DataFrame, seed: int) -> DataFrame:
 def common_tokens(sets: DataFrame) -> np.ndarray:
     """At most ``N_COMMON`` of the shingles most counted, the rarest first."""
     totals = sets.where("n IS NULL").groupBy("token").agg(F.sum("times").alias("times"))
-    top = totals.where(F.col("times") >= COMMON_LEAST).orderBy(F.desc("times"), "token").limit(N_COMMON)
-    found = [r["token"] for r in top.collect()]
+    # eight steps to a doubling: a few hundred rows tell from which step on there are few enough
+    totals = stored(totals.where(F.col("times") >= COMMON_LEAST).withColumn("step", F.floor(8 * F.log2("times")).cast("int")))
+    least, room = 1 << 30, N_COMMON
+    for row in totals.groupBy("step").count().orderBy(F.desc("step")).collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["step"]
+    top = totals.where(F.col("step") >= least).orderBy(F.desc("times"), "token")
+    found = [r["token"] for r in top.select("token").collect()]
     return np.array(found[::-1], np.int64).view(np.uint64)
 
 
@@ -134,12 +154,12 @@ def prefix_tokens(docs: DataFrame, seed: int, common: np.ndarray) -> DataFrame:
         done: set[int] = set()
         for batch in batches:
             found, owners, lengths = [], [], []
-            for tokens in shingler.sets(batch.column(1).to_pylist()):
+            for tokens in shingler.sets(_texts(batch.column(1))):
                 n = len(tokens)
                 owner = _keys(tokens)[0]
                 if not n or owner in done:
                     continue
-                if len(done) > 1 << 20:
+                if len(done) > 1 << 17:
                     done.clear()
                 done.add(owner)
                 length = n - _needed(n) + min(SHARED, _needed(n))
@@ -183,20 +203,22 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again = s != firsts  # not the first of its posting
         keep = again.copy()
         keep[:-1] |= again[1:]  # a first one followed by another of its posting
-        before = head > 0 and open_alone
-        out = [t[keep], s[keep], firsts[keep]]
-        if before:
-            out = [np.concatenate(([x], c)) for x, c in zip((token, first, first), out)]
+        previous = np.concatenate(([last or 0], s[:-1]))
+        out = [t[keep], s[keep], firsts[keep], np.where(again, previous, s)[keep]]
+        if head > 0 and open_alone:
+            out = [np.concatenate(([x], c)) for x, c in zip((token, first, first, first), out)]
         token, first, last = int(t[-1]), int(firsts[-1]), int(s[-1])
         open_alone = not again[-1]
-        yield pa.record_batch([pa.array(c, pa.int64()) for c in out], names=["token", "set_id", "first"])
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in out], names=["token", "set_id", "first", "previous"])
 
 
 def postings(tokens: DataFrame) -> DataFrame:
-    """(token, set_id, first): the sets of every token that has two or more; ``first`` is the smallest of them."""
+    """(token, set_id, first, previous): the sets of every token that has two or more.
 
+    ``first`` is the smallest of them, ``previous`` the next smaller one; both are the set itself for the first.
+    """
     sorted_tokens = tokens.repartition("token").sortWithinPartitions("token", "set_id")
-    return sorted_tokens.mapInArrow(_shared, "token bigint, set_id bigint, first bigint")
+    return sorted_tokens.mapInArrow(_shared, "token bigint, set_id bigint, first bigint, previous bigint")
 
 
 def _may_link(a: str, b: str) -> Column:
@@ -221,11 +243,11 @@ def checked(pairs: DataFrame, texts: DataFrame, seed: int) -> DataFrame:
         shingler = Shingler(seed)
         held: tuple[int | None, np.ndarray] = (None, np.empty(0, np.uint64))
         for batch in batches:
-            a, b, text_a, text_b = (c.to_pylist() for c in batch.columns)
+            a, b = (c.to_pylist() for c in batch.columns[:2])
             keep = []
-            for i, other in enumerate(shingler.sets(text_b)):
+            for i, other in enumerate(shingler.sets(_texts(batch.column(3)))):
                 if held[0] != a[i]:
-                    held = (a[i], next(shingler.sets([text_a[i]])))
+                    held = (a[i], next(shingler.sets([batch.column(2)[i].as_py()])))
                 shared = len(np.intersect1d(held[1], other, assume_unique=True))
                 keep.append(100 * shared >= PERCENT * (len(held[1]) + len(other) - shared))
             kept = [pa.array([x for x, k in zip(c, keep) if k], pa.int64()) for c in (a, b)]
@@ -236,9 +258,40 @@ def checked(pairs: DataFrame, texts: DataFrame, seed: int) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(linked, "a bigint, b bigint")
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_id"))
+
+
 def similar_groups(docs: DataFrame, seed: int = 0) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs(doc_id, text)``."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_id"))
+    return _grouped(_rows(docs), seed).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_per_group(docs: DataFrame, seed: int = 0) -> DataFrame:
+    """The rows of ``docs`` without all but the first document of each group; rows equal in doc_id and text are one.
+
+    Rows without shingles all stay. Only what goes is shuffled or broadcast, not the texts that stay.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.select("row", F.col("row.doc_id").cast("bigint").alias("id"), F.xxhash64("row.text").alias("text_id"))
+    found = stored(_grouped(_rows(docs), seed).select("doc_id", "text_id", "root", "n"))
+    place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_id")
+    first = found.where("n > 0").groupBy("root").agg(F.min(place).alias("first"))
+    others = found.where("n > 0").join(first, "root").where(~place.eqNullSafe(F.col("first")))
+    gone = others.select(F.col("doc_id").alias("g"), F.col("text_id").alias("t")).distinct()
+    again = found.groupBy(F.col("doc_id").alias("g"), F.col("text_id").alias("t")).count().where("count > 1").select("g", "t")
+
+    def matched(other: DataFrame) -> Column:
+        return rows["id"].eqNullSafe(other["g"]) & (rows["text_id"] == other["t"])
+
+    apart, twins = gone.union(again).distinct(), again.join(gone, ["g", "t"], "left_anti")
+    stay = rows.join(apart, matched(apart), "left_anti")
+    twice = rows.join(twins, matched(twins), "left_semi")
+    return stay.union(twice.dropDuplicates(["id", "text_id"])).select("row.*")
+
+
+def _grouped(rows: DataFrame, seed: int) -> DataFrame:
+    """(doc_id, text_id, n, root, component_id) of ``rows(doc_id, text, text_id)``; a null root where n is 0."""
     sets = stored(shingle_sets(rows, seed))
     documents = sets.where("n IS NOT NULL").select(
         "doc_id", "text_id", "set_id", "check_id", "n", "signature"
@@ -255,40 +308,146 @@ def similar_groups(docs: DataFrame, seed: int = 0) -> DataFrame:
     a = nodes.select(F.col("set_id").alias("a"), F.col("n").alias("a_n"), F.col("s").alias("a_s"))
     b = nodes.select(F.col("set_id").alias("b"), F.col("n").alias("b_n"), F.col("s").alias("b_s"))
 
-    firsts = matrix.where("set_id != first").select(F.col("first").alias("a"), F.col("set_id").alias("b")).distinct()
-    near = stored(firsts.join(a, "a").join(b, "b").where(_may_link("a", "b")).select("a", "b"))
-    texts = _texts_of(rows, nodes, near)
-    links = stored(checked(near, texts, seed))
-
-    grouped = components(links)
-    member = nodes.select("set_id", "n").join(grouped.withColumnRenamed("node", "set_id"), "set_id", "left")
-    member = stored(member.select("set_id", "n", F.coalesce("root", "set_id").alias("group")))
-    of_group = matrix.select("token", "set_id").join(member, "set_id")
-    union = of_group.select("token", F.col("group").alias("other")).distinct()
+    def compared(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The pairs (a, b) that size and signature allow, and those of them that are linked."""
+        near = stored(pairs.join(a, "a").join(b, "b").where(_may_link("a", "b")).select("a", "b"))
+        return near, stored(checked(near, _texts_of(rows, nodes, near), seed))
+
+    others = matrix.where("set_id != first").select(F.explode(F.array("first", "previous")).alias("a"), F.col("set_id").alias("b"))
+    near, links = compared(_ordered(others).distinct())
+    member = _members(nodes, links)
+    of_group = _several_groups(matrix.select("token", "set_id").join(member, "set_id"))
+    # tokens of many groups are compared in blocks; pairs that share none of them are found by the matrix
+    spread = of_group.groupBy("token").agg(F.count("*").alias("sets"), F.countDistinct("group").alias("groups"))
+    hot = stored(spread.where(F.col("groups") > HOT))
+    hot_pairs = _pairs_of_hot_tokens(of_group, hot, nodes)
+    of_group = of_group.join(hot, "token", "left_anti")
+    union = of_group.select("token", F.col("group").alias("other"), F.col("size").alias("other_size")).distinct()
     least_shared = F.least(F.lit(SHARED), F.ceil(F.col("n") * (PERCENT / 100) ** 2))
-    several = union.groupBy("token").agg((F.min("other") != F.max("other")).alias("several")).where("several")
-    bounded = (
-        of_group.join(several.select("token"), "token", "left_semi").join(union, "token").where("other < group")
-        .groupBy("set_id", "other", "n").count().where(F.col("count") >= least_shared)
-        .select(F.col("set_id").alias("b"), "other")
-    )
-    opened = bounded.join(b, "b").join(member.select(F.col("group").alias("other"), F.col("set_id").alias("a")), "other")
-    more = stored(opened.join(a, "a").where(_may_link("a", "b")).select("a", "b").join(near, ["a", "b"], "left_anti"))
-    links = links.union(checked(more, _texts_of(rows, nodes, more), seed))
+    # each two groups once: the sets of the smaller one against the larger one
+    larger = "other_size > size OR other_size = size AND other < group"
+    bounded = of_group.join(union, "token").where(larger).groupBy("set_id", "other", "other_size", "n").count()
+    bounded = bounded.where(F.col("count") >= least_shared)
+    bounded = stored(bounded.select(F.col("set_id").alias("b"), "other", F.col("other_size").alias("size")))
+    members = member.select(F.col("group").alias("other"), F.col("set_id").alias("a"))
+    opened = bounded.where(F.col("size") <= SMALL).join(members, "other").select("a", "b")
+    opened = opened.join(a, "a").join(b, "b").where(_may_link("a", "b")).select("a", "b")
+    blocks = _in_blocks(bounded.where(F.col("size") > SMALL), members, nodes)
+    found = _ordered(opened.union(blocks).union(hot_pairs)).distinct()
+    _, more = compared(found.join(near, ["a", "b"], "left_anti"))
+    links = links.union(more)
 
     final = components(links)
     named = nodes.join(final.withColumnRenamed("node", "set_id"), "set_id", "left")
     named = named.select("set_id", "doc_id", F.coalesce("root", "set_id").alias("root"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_set = named.select("set_id", "root").join(smallest, "root").select("set_id", "component_id")
-    linked = documents.where("n > 0").join(by_set, "set_id").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = documents.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return linked.union(empty)
+    by_set = named.select("set_id", "root").join(smallest, "root").select("set_id", "root", "component_id")
+    linked = documents.where("n > 0").join(by_set, "set_id")
+    empty = documents.where("n = 0").select("*", F.lit(None).cast("bigint").alias("root"), F.col("doc_id").alias("component_id"))
+    columns = ["doc_id", "text_id", "n", "root", "component_id"]
+    return linked.select(*columns).union(empty.select(*columns))
+
+
+def _members(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(set_id, n, group, size) of every set; size is that of its group."""
+    grouped = components(links).withColumnRenamed("node", "set_id")
+    sizes = grouped.groupBy(F.col("root").alias("group")).agg((F.count("*") + 1).alias("size"))
+    member = nodes.select("set_id", "n").join(grouped, "set_id", "left")
+    member = member.select("set_id", "n", F.coalesce("root", "set_id").alias("group")).join(sizes, "group", "left")
+    return stored(member.select("set_id", "n", "group", F.coalesce("size", F.lit(1)).alias("size")))
+
+
+def _several_groups(of_group: DataFrame) -> DataFrame:
+    """The rows of tokens that members of two or more groups have."""
+    several = of_group.groupBy("token").agg((F.min("group") != F.max("group")).alias("several")).where("several")
+    return stored(of_group.join(several.select("token"), "token", "left_semi"))
+
+
+def _in_blocks(bounded: DataFrame, members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of a set b and a member a of a group opened for it that size and signature allow.
+
+    Sets and members of a group are dealt into blocks of about ``BLOCK`` each, and a task compares two blocks; so
+    neither the pairs of a large group nor its members are ever rows of one task.
+    """
+    shape = bounded.groupBy("other", "size").agg(F.count("*").alias("sets"))
+    shape = shape.select("other", *[F.ceil(F.col(c) / BLOCK).cast("int").alias(f"n_{c}") for c in ("size", "sets")])
+    named = nodes.select("set_id", "n", "s")
+
+    def dealt(side: DataFrame, key: str, number: int, own: str, across: str) -> DataFrame:
+        rows = side.select("other", F.col(key).alias("set_id")).join(shape, "other").join(named, "set_id")
+        mine = F.pmod(F.xxhash64("set_id"), F.col(own)).cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.col(across) - 1)).alias(across)
+        return rows.select("other", "set_id", "n", "s", mine, every, F.lit(number).alias("side")).select(
+            "other", "n_size", "n_sets", "side", "set_id", "n", "s"
+        )
+
+    wanted = members.join(shape.select("other"), "other", "left_semi")
+    both = dealt(wanted, "a", 0, "n_size", "n_sets").union(dealt(bounded, "b", 1, "n_sets", "n_size"))
+
+    def compare(table):  # without type hints: they choose the kind of function here
+        side, names = table.column("side").to_numpy(), table.column("set_id").to_numpy()
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        found = [(names[left[i]], names[right[j]]) for i, j in _fitting(table, left, right)]
+        a, b = zip(*found) if found else ([np.empty(0, np.int64)], [np.empty(0, np.int64)])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return both.groupBy("other", "n_size", "n_sets").applyInArrow(compare, "a bigint, b bigint")
+
+
+def _fitting(table: pa.Table, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in ``left`` and ``right`` of the rows that ``_may_link`` allows as a pair, few at a time."""
+    n = table.column("n").to_numpy()
+    lanes = table.column("s").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), _LANES)
+    for at in range(0, len(right), 64):
+        some = right[at : at + 64]
+        small, large = np.minimum(n[left][:, None], n[some]), np.maximum(n[left][:, None], n[some])
+        odd = sum(np.bitwise_count(lanes[left][:, None, k] ^ lanes[some][:, k]).astype(np.int64) for k in range(_LANES))
+        i, j = np.nonzero((100 * small >= PERCENT * large) & (odd * (100 + PERCENT) <= (100 - PERCENT) * (small + large)))
+        yield i, j + at
+
+
+def _pairs_of_hot_tokens(of_group: DataFrame, hot: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets of different groups that share a hot token and that size and signature allow.
+
+    The sets of a token are dealt into blocks of about ``BLOCK``, and a task compares two blocks of one token. A pair
+    with several such tokens is returned at the first of them only.
+    """
+    mine = of_group.join(hot.select("token", F.ceil(F.col("sets") / BLOCK).cast("int").alias("blocks")), "token")
+    hots = mine.groupBy("set_id").agg(F.sort_array(F.collect_set("token")).alias("hots"))  # of its prefix
+    rows = mine.select("token", "blocks", "set_id", "group").join(nodes.select("set_id", "n", "s"), "set_id").join(hots, "set_id")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    kept = ["token", "set_id", "group", "n", "s", "hots"]
+    later = F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))
+    sooner = F.explode(F.sequence(F.lit(0), F.col("block")))
+    left = rows.select(*kept, F.col("block").alias("i"), later.alias("j"), F.lit(0).alias("side"))
+    right = rows.select(*kept, sooner.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"))
+
+    def compare(table):  # without type hints: they choose the kind of function here
+        side, names = table.column("side").to_numpy(), table.column("set_id").to_numpy()
+        group, token = table.column("group").to_numpy(), table.column("token")[0].as_py()
+        itself = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        hots = [frozenset(h) for h in table.column("hots").to_pylist()]
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        out = []
+        for i, j in _fitting(table, left, right):
+            x, y = left[i], right[j]
+            apart = (group[x] != group[y]) & ((names[x] < names[y]) | (not itself))
+            out += [(p, q) for p, q in zip(x[apart].tolist(), y[apart].tolist()) if min(hots[p] & hots[q]) == token]
+        a, b = (np.array([names[pair[k]] for pair in out], np.int64) for k in range(2))
+        return pa.table({"a": a, "b": b})
+
+    return left.union(right).groupBy("token", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _texts_of(rows: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(set_id, text) of the sets that are in some pair, one text each."""
     wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    names = nodes.join(wanted, "set_id", "left_semi").select("set_id", "row")
+    names = stored(nodes.join(wanted, "set_id", "left_semi").select("set_id", "row"))
+    if names.count() <= FEW:  # else the texts are shuffled
+        names = F.broadcast(names)
     same = rows["doc_id"].eqNullSafe(names["row.doc_id"]) & (rows["text_id"] == names["row.text_id"])
     return stored(rows.join(names, same).select("set_id", "text").dropDuplicates(["set_id"]))

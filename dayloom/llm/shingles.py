@@ -6,7 +6,7 @@ words in a row; a text with one to four words has its whole sequence as its only
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -74,7 +74,7 @@ class Shingler:
             else:
                 yield np.empty(0, np.uint64)
 
-    def sets(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+    def sets(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """The distinct shingles of each text, ascending."""
         held: list[bytes] = []
         size = 0
