@@ -12,6 +12,7 @@ from dayloom.llm.language_id import fit, identify
 from dayloom.llm.mixing import Plan, mixture
 from dayloom.llm.ngram_join import similar_groups
 from dayloom.llm.packing import pack_documents
+from dayloom.llm.shipping import shipped
 from dayloom.llm.token_ids import default_vocabulary
 from dayloom.llm.token_store import read_documents, write_tokens
 from dayloom.session import read_given, scratch_folder
@@ -22,7 +23,7 @@ ORACLES: dict[str, str] = {}
 
 
 def query(build: Build) -> Build:
-    QUERIES[build.__name__] = build
+    QUERIES[build.__name__] = shipped(build)
     return build
 
 
