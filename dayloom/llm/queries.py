@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dayloom.llm import html_extract, license_scan, quality_rules, url_filter
+from dayloom.llm import html_extract, license_scan, oracles, quality_rules, url_filter
 from dayloom.llm.embedding_dedup import near_duplicates
 from dayloom.llm.language_id import fit, identify
 from dayloom.llm.mixing import Plan, mixture
@@ -90,4 +90,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(read_given(spark, sf_dir, "documents"))
 
 
-ORACLES["op10_quality_rules"] = quality_rules.JUDGED_SQL
+ORACLES.update(
+    op1_url_filter=oracles.url_filter(url_filter.RULES),
+    op3_ngram_join=oracles.SIMILAR_GROUPS,
+    op5_embedding_dedup=oracles.NEAR_DUPLICATES,
+    op7_source_mixing=oracles.source_mixing(MIXTURE),
+    op10_quality_rules=quality_rules.JUDGED_SQL,
+)
