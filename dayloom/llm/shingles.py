@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 WORDS = 5
-_BLOCK = 1 << 20  # bytes hashed at once; a longer text is a block of its own
+_BLOCK = 1 << 19  # bytes hashed at once; a longer text is a block of its own
 _U = np.uint64
 
 

@@ -3,7 +3,7 @@
 A byte-level BPE splits a text into words before it merges, and a single space between two non-blank characters
 always starts a new word. So a text can be cut at such spaces and the ids of the parts joined: the result is the
 library's own for the whole text. Parts repeat, so a worker keeps the ids of those it has met, up to ``MAX_KEPT`` of
-each kind and ``LONGEST_KEPT`` characters; others are computed each time they come.
+them (a third as many single words) and ``LONGEST_KEPT`` characters; others are computed each time they come.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from array import array
 
 import numpy as np
 
-MAX_KEPT = 1_500_000
+MAX_KEPT = 600_000
 LONGEST_KEPT = 14  # characters; longer parts seldom come again
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _CLOSING = frozenset(".,;:!?")
@@ -54,7 +54,7 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         ids = self.pack([t.id for t in self.merge(word)])
-        if len(self) < MAX_KEPT:
+        if len(self) < MAX_KEPT // 3:
             self[word] = ids
         return ids
 
