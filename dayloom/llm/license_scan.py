@@ -1,10 +1,12 @@
 """License scans by a positional index of the rare words of licence notices.
 
 Two passes over whole texts. The first counts, over all documents, in how many each word of the templates stands; that
-gives the words' IDF. The second finds licences: a document's occurrences of its ``LOOKED_UP`` template words of highest
-IDF are looked up in the postings (word -> template, place in it), and each occurrence votes for the place where the
-template would start. Votes within ``SHIFT`` words of one another belong together; where the words found carry at least
-``LEAST_SHARE`` of the template's IDF and the template's key phrase stands within its reach, the label is given.
+gives the words' IDF. The second finds licences. Of every template the rarest words are posted (word -> template, place
+in it), so many that the others carry less than ``LEAST_SHARE`` of its IDF: a place with that share holds one of them.
+Each occurrence of a posted word nominates the place where the template would start. There all words of the template
+are compared with the text; those within ``SHIFT`` words of where they belong count, and where they carry at least
+``LEAST_SHARE`` of the template's IDF and the template's key phrase stands within its reach, the label is given. So no
+template takes from another, whatever else a document holds.
 
 Apart from that, the base: every place where the words of a base phrase stand in a row.
 
@@ -25,9 +27,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-LOOKED_UP = 12
 SHIFT = 2
 LEAST_SHARE = 0.5
+_ROUNDING = 1e-9
 
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
@@ -73,36 +75,54 @@ _BASE_WORDS = [(_split(p), label) for p, label in BASE.items()]
 
 
 class Index:
-    """Postings of the templates' words, weighed by IDF."""
+    """Postings of the templates' rarest words, and all their words weighed by IDF."""
 
     def __init__(self, idf: dict[bytes, float]) -> None:
-        self.idf = idf
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         self.templates = []
         for number, (label, notice, key) in enumerate(TEMPLATES):
             words = _split(notice)
-            for place, word in enumerate(words):
+            rarest = sorted(((idf[w], place, w) for place, w in enumerate(words)), key=lambda x: (-x[0], x[1]))
+            weight = rest = math.fsum(idf[w] for w in words)
+            for worth, place, word in rarest:
+                if rest < weight * (LEAST_SHARE - _ROUNDING):
+                    break
                 self.postings[word].append((number, place))
-            self.templates.append((label, len(words), sum(idf[w] for w in words), _split(key)))
+                rest -= worth
+            self.templates.append((label, rarest, weight, _split(key)))
+
+    def share(self, number: int, words: list[bytes], start: int) -> float:
+        """The share of a template's weight that stands about ``start``; 0 once it cannot reach ``LEAST_SHARE``."""
+        _, rarest, weight, _ = self.templates[number]
+        found, rest, exact = [], weight, False
+        for worth, place, word in rarest:
+            at = start + place
+            if 0 <= at < len(words) and words[at] == word:
+                found.append(worth)
+                exact = True
+            elif word in words[max(0, at - SHIFT) : max(0, at + SHIFT + 1)]:
+                found.append(worth)
+            else:
+                rest -= worth
+                if rest < weight * (LEAST_SHARE - _ROUNDING):
+                    return 0.0
+        return math.fsum(found) / weight if exact else 0.0
 
     def labels(self, words: list[bytes], found: dict[bytes, list[int]]) -> dict[str, float]:
         """Labels whose template is matched, with the largest share of its weight that was found."""
-        rare = sorted(found, key=lambda w: (-self.idf[w], w))[:LOOKED_UP]
-        votes: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
-        for word in rare:
+        nominated: dict[int, set[int]] = defaultdict(set)
+        for word in self.postings.keys() & found.keys():
             for number, place in self.postings[word]:
-                for at in found[word]:
-                    votes[number][at - place].add(place)
+                nominated[number].update(at - place for at in found[word])
         out: dict[str, float] = {}
-        for number, by_start in votes.items():
-            label, length, weight, key = self.templates[number]
-            notice = _split(TEMPLATES[number][1])
-            for start in by_start:
-                places = set().union(*(by_start[s] for s in range(start - SHIFT, start + SHIFT + 1) if s in by_start))
-                share = sum(self.idf[notice[p]] for p in places) / weight
+        for number, places in nominated.items():
+            label, rarest, _, key = self.templates[number]
+            # the place of the others may be up to SHIFT words from that of the nominating word
+            for start in {start + shift for start in places for shift in range(-SHIFT, SHIFT + 1)}:
+                share = self.share(number, words, start)
                 if share < LEAST_SHARE or share <= out.get(label, 0):
                     continue
-                low, high = max(0, start - SHIFT), start + length + SHIFT
+                low, high = max(0, start - SHIFT), start + len(rarest) + SHIFT
                 if any(words[i : i + len(key)] == key for i in range(low, min(high, len(words)) - len(key) + 1)):
                     out[label] = min(1.0, share)
         return out
