@@ -9,6 +9,9 @@ Weights are learned from labelled pages, those that mark their content by ``arti
 kind's words, and of a tag, to stand inside. They come from about ``sample`` pages drawn by a hash over the table;
 kinds that were not met fall back on what their tag says. Every page is then read whole.
 
+A head whose end tag was left out ends at the first tag or word that cannot stand in it, a title or button of which no end
+tag follows before the next one ends at the next block.
+
 Character references are decoded. A block or ``br`` ends a word, an inline tag does not; white space becomes one space.
 
 Defined results: a null or empty page, or one without a positive run, has an empty text; markup that is never closed
@@ -39,6 +42,10 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=\s|/|\Z)", re.I)
 _RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "canvas", "object", "textarea", "select"}
 _UNSEEN = _RAW | {"head", "title", "button", "audio", "video", "datalist", "dialog"}
+_PLAIN = {"script", "style", "noscript", "iframe", "textarea"}  # what they hold is text up to their end tag, not markup
+_IN_HEAD = {"html", "head", "base", "basefont", "bgsound", "link", "meta", "title", "script", "style", "noscript", "noframes",
+            "template"}
+_LOOSE = {"title", "button"}  # a block ends them if their end tag was left out
 _FURNITURE = {"nav", "header", "footer", "aside", "form", "menu", "search"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "alert", "dialog"}
 _NAMES = set(
@@ -79,24 +86,58 @@ def _is_furniture(name: str, rest: str) -> str:
     return ""
 
 
+def _ended_by(name: str, stack: list[tuple[str, str, bool]]) -> int | None:
+    """The depth of the lowest element that the start tag of ``name`` ends because its end tag was left out."""
+    depth = None
+    for i in range(len(stack) - 1, -1, -1):
+        above, _, loose = stack[i]
+        if above == "head":
+            return depth if name in _IN_HEAD else i
+        if loose and (name == above or name not in _INLINE | _IN_HEAD | _RAW | _VOID):
+            depth = i
+        elif loose or above not in _INLINE:
+            break
+    return depth
+
+
 def chunks(page: str) -> Iterator[Chunk]:
     """The page as text and tags in order; scripts, styles, comments and what is never shown are left out."""
-    stack: list[tuple[str, str]] = []  # open elements: name, kind if furniture
+    stack: list[tuple[str, str, bool]] = []  # open elements: name, kind if furniture, whether a block ends it
     at = 0
     unseen = 0  # open elements whose text is not shown
 
     def kind() -> str:
-        for name, furniture in stack:  # the outermost furniture decides
+        for name, furniture, _ in stack:  # the outermost furniture decides
             if furniture:
                 return furniture
-        return next((name for name, _ in reversed(stack) if name not in _INLINE), "body")
+        return next((name for name, *_ in reversed(stack) if name not in _INLINE), "body")
 
     def inside() -> bool:
-        return any(name in _MAIN for name, _ in stack)
+        return any(name in _MAIN for name, *_ in stack)
+
+    next_tag: dict[str, re.Match[str] | None] = {}
+
+    def following(name: str) -> re.Match[str] | None:
+        """The next start or end tag of ``name``; each is looked for once."""
+        found = next_tag.get(name)
+        if name not in next_tag or (found and found.start() < at):
+            next_tag[name] = found = re.compile(rf"<(/?){name}(?=[\s/>])", re.I).search(page, at)
+        return found
+
+    endless: set[str] = set()  # elements without an end tag in the rest of the page
+
+    def end_of(name: str) -> re.Match[str] | None:
+        found = None if name in endless else re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+        if not found:
+            endless.add(name)
+        return found
 
     while at < len(page):
         found = _TAG.search(page, at)
         text = page[at : found.start() if found else len(page)]
+        if stack and stack[-1][0] == "head" and text.strip():
+            stack.pop()
+            unseen -= 1
         if text and not unseen:
             yield "text", kind(), text, inside()
         if not found:
@@ -108,22 +149,29 @@ def chunks(page: str) -> Iterator[Chunk]:
         if found["close"]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if depth is not None:
-                unseen -= sum(n in _UNSEEN for n, _ in stack[depth:])
+                unseen -= sum(n in _UNSEEN for n, *_ in stack[depth:])
                 del stack[depth:]
             if not unseen and name not in _INLINE:
                 yield "end", name, "", inside()
             continue
         rest = found["rest"] or ""
-        if not unseen and not any(furniture for _, furniture in stack):
+        depth = _ended_by(name, stack) if unseen else None
+        if depth is not None:
+            unseen -= sum(n in _UNSEEN for n, *_ in stack[depth:])
+            del stack[depth:]
+        if not unseen and not any(furniture for _, furniture, _ in stack):
             yield "tag", name, "", inside()
         elif not unseen and name not in _INLINE:
             yield "end", name, "", inside()
         if name in _VOID or rest.endswith("/"):
             continue
         if name in _RAW and not unseen:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+            end = end_of(name)
             at = end.end() if end else len(page)
             continue
+        if name in _PLAIN and (end := end_of(name)):
+            at = end.end()
+            continue
         if name not in _INLINE:  # a block ends an open paragraph
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
@@ -131,7 +179,8 @@ def chunks(page: str) -> Iterator[Chunk]:
                     break
                 if stack[i][0] not in _INLINE:
                     break
-        stack.append((name, _is_furniture(name, rest)))
+        after = following(name) if name in _LOOSE else None
+        stack.append((name, _is_furniture(name, rest), name in _LOOSE and not (after and after[1])))
         unseen += name in _UNSEEN
 
 
