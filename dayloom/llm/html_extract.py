@@ -6,7 +6,7 @@ weight of its kind, an opening tag outside of furniture the weight of its name;
 of that run, without its furniture, is the result.
 
 Weights are learned from labelled pages, those that mark their content by ``article`` or ``main``: the log-odds of a
-kind's words, and of a tag, to stand inside. They come from about ``sample`` pages drawn by a hash over the table;
+kind's words, and of a tag, to stand inside. They come from about ``sample`` of the marked pages drawn by a hash;
 kinds that were not met fall back on what their tag says. Every page is then read whole.
 
 A head whose end tag was left out ends at the first tag or word that cannot stand in it, a title or button of which no end
@@ -226,10 +226,11 @@ def learned(totals: dict[tuple[str, str, bool], int]) -> Weights:
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Weights:
-    """Weights from the marked ones of about ``sample`` pages, drawn by a hash; only sums by kind reach the driver."""
-    share = min(1.0, sample / max(pages.count(), 1))
-    mark = F.pmod(F.xxhash64("page_id", "url"), F.lit(1_000_000))
-    drawn = pages.where(mark < F.lit(math.ceil(share * 1_000_000))).where(F.col("html").rlike("(?i)<(article|main)[ >]"))
+    """Weights from about ``sample`` of the marked pages, drawn by a hash; only sums by kind reach the driver."""
+    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]"))
+    share = min(1.0, sample / max(marked.count(), 1))
+    mark = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 40))
+    drawn = marked.where(mark < F.lit(math.ceil(share * (1 << 40))))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[tuple[str, str, bool]] = Counter()
