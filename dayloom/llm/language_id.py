@@ -1,7 +1,8 @@
 """Language ID by a bidirectional gated recurrent network over bytes (``byte_gru``).
 
 The network is trained on the driver from a bounded sample: ``sample`` windows of labelled documents outside the held-out
-fold, chosen by a hash of doc_id, each cut at a hashed place of its text. Every byte of every text is then labelled on
+fold, chosen by a hash of doc_id, each cut at a hashed place of its text. Every language has its part of the sample, by
+its count over all rows, so a rare one is learned from a table of any size; labels are taken to be few. Every byte of every text is then labelled on
 the executors, and a document's prediction is the label with the largest mean probability over its bytes.
 
 Labels, source and doc_id are no inputs of a prediction. A document is held out when crc32 of its doc_id as text leaves
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dayloom.llm.byte_gru import WINDOW, ByteGru
-from dayloom.llm.sampling import smallest_marks
+from dayloom.llm.sampling import smallest_marks_by
 
 SAMPLE = 6000
 STEPS = 260
@@ -39,12 +40,12 @@ def held_out() -> Column:
 def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> ByteGru | None:
     """The network fitted to a bounded sample of ``docs(doc_id, text, lang)``; None without labelled rows."""
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out())
-    total = labelled.count()
     labelled = labelled.where(F.col("text").rlike(r"\p{L}"))
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     mark = F.xxhash64("doc_id", F.lit("language"))
     place = 1 + F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - WINDOW, F.lit(1)))
     windows = labelled.select(F.substr("text", place.cast("int"), F.lit(WINDOW)).alias("w"), "lang", mark.alias("mark"))
-    rows = smallest_marks(windows, total, sample)
+    rows = smallest_marks_by(windows, "lang", counts, sample)
     if not rows:
         return None
     labels = sorted({r["lang"] for r in rows})
