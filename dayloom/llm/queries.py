@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dayloom.llm import html_extract, license_scan, oracles, quality_rules, url_filter
 from dayloom.llm.embedding_dedup import near_duplicates
 from dayloom.llm.language_id import fit, identify
+from dayloom.llm.lattice_lm import likelihoods
 from dayloom.llm.mixing import Plan, mixture
 from dayloom.llm.ngram_join import similar_groups
 from dayloom.llm.packing import pack_documents
 from dayloom.llm.shipping import shipped
-from dayloom.llm.token_ids import default_vocabulary
+from dayloom.llm.token_ids import default_vocabulary, piece_vocabulary
 from dayloom.llm.token_store import read_documents, write_tokens
 from dayloom.session import read_given, scratch_folder
 
@@ -90,6 +91,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(read_given(spark, sf_dir, "documents"))
 
 
+@query
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return likelihoods(read_given(spark, sf_dir, "documents"), piece_vocabulary())
+
+
 ORACLES.update(
     op1_url_filter=oracles.url_filter(url_filter.RULES),
     op3_ngram_join=oracles.SIMILAR_GROUPS,

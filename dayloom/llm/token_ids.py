@@ -30,6 +30,12 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a vocabulary file."""
     if path not in _ENCODERS:
