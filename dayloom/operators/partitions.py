@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dayloom.functions.dates import hour_of_day
 from dayloom.operators.gates import BY_DIRECTORY, BY_PARTITION, MIN_BYTES, day_row_gate, files_by_day
 from dayloom.session import stored
-from dayloom.sources.paths import drop_folders, names_in, staged_days
+from dayloom.sources.paths import drop_folders, names_in, recover_days, staged_days
 
 DATE_COL = "data_date"
 # Fixed value: days that are kept.
@@ -164,8 +164,12 @@ def backfill_missing_folders(
     keep_short: bool = False,
     layout: str = BY_DIRECTORY,
 ) -> list[date]:
-    """The same for a dataset with one folder per day: one job writes all days aside, then each is put in place."""
+    """The same for a dataset with one folder per day: one job writes all days aside, then each is put in place.
+
+    What a run that died left is settled first, so its days are not taken for missing.
+    """
     spark = source.sparkSession
+    recover_days(spark, root)
     days = _incomplete(spark, root, None, _span(as_of, n_lookback), min_bytes, None, layout)
     if days:
         fresh = compute(source.where(F.col(DATE_COL).isin(days))).where(F.col(DATE_COL).isin(days))

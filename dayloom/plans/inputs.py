@@ -39,6 +39,28 @@ def events_by_day(spark: SparkSession, sf_dir: str) -> str:
     return _EVENTS_BY_DAY[key]
 
 
+_WITH_SHORT_DAYS: dict[tuple[str, str], str] = {}
+SHORT_DAY = "DATE '2023-12-01' + CAST(n_nationkey % 8 AS INTEGER)"
+SHORT_DAYS_SQL = f"SELECT CAST({SHORT_DAY} AS DATE) AS data_date FROM nation"
+
+
+def events_and_short_days(spark: SparkSession, sf_dir: str) -> str:
+    """Name of a table by day of all events and, for each nation, one row more on a day before them; written once.
+
+    Eight days have three or four of these rows.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WITH_SHORT_DAYS:
+        table = f"{scratch_database(spark)}.events_and_short_days"
+        day = F.date_add(F.lit(date(2023, 12, 1)), (F.col("n_nationkey") % 8).cast("int"))
+        few = read_given(spark, sf_dir, "nation").select(
+            (-1 - F.col("n_nationkey")).cast("bigint").alias("event_id"), day.alias("data_date")
+        )
+        write_days(dated_events(spark, sf_dir).unionByName(few, allowMissingColumns=True), table)
+        _WITH_SHORT_DAYS[key] = table
+    return _WITH_SHORT_DAYS[key]
+
+
 def daily_activity(events: DataFrame) -> DataFrame:
     """(data_date, user_id, n, last_event): what the daily jobs compute from whole days of events."""
     return events.groupBy("data_date", "user_id").agg(

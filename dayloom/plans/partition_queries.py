@@ -17,7 +17,8 @@ from dayloom.operators.partitions import (
     table_location, write_days, write_hourly_slots,
 )
 from dayloom.plans.inputs import (
-    AS_OF, DAILY_ACTIVITY_SQL, activity_table, daily_activity, dated_events, events_by_day,
+    AS_OF, DAILY_ACTIVITY_SQL, SHORT_DAYS_SQL, activity_table, daily_activity, dated_events, events_and_short_days,
+    events_by_day,
 )
 from dayloom.plans.jobs import daily_backfill, export_and_check
 from dayloom.plans.registry import query
@@ -35,41 +36,24 @@ def lookback_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookback(spark, table_location(spark, events_by_day(spark, sf_dir)), AS_OF, 7)
 
 
-@query("SELECT CAST(ts AS DATE) AS data_date, count(*) >= 5 AS complete FROM events WHERE event_id % 70 = 0 GROUP BY 1")
-def day_row_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # about one row in 70 stays, so some days are short
-    return rows_complete(spark.table(events_by_day(spark, sf_dir)).where("event_id % 70 = 0"))
-
-
-_THIN_BYTES = 5120  # more than the files of a day with one row, less than those of any other
+_DAYS_SQL = f"SELECT CAST(ts AS DATE) AS data_date FROM events UNION ALL {SHORT_DAYS_SQL}"
+_LARGE_BYTES = 2048  # more than the files of a day with four rows, less than those of any day of the events
 
 
-def _thinned(spark: SparkSession, sf_dir: str) -> str:
-    """Location of a table in which every fourth day has but one row; each row takes half a kilobyte."""
-    events = dated_events(spark, sf_dir).select("data_date", "event_id")
-    thin = F.dayofmonth("data_date") % 4 == 0
-    single = events.where(thin).groupBy("data_date").agg(F.min("event_id").alias("event_id"))
-    padding = F.concat(*[F.sha2(F.concat(F.col("event_id").cast("string"), F.lit(f"-{i}")), 512) for i in range(4)])
-    rows = events.where(~thin).union(single).withColumn("padding", padding)
-    table = f"{scratch_database(spark)}.thinned"
-    write_days(rows, table)
-    return table_location(spark, table)
+@query(f"SELECT data_date, count(*) >= 5 AS complete FROM ({_DAYS_SQL}) GROUP BY 1")
+def day_row_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows_complete(spark.table(events_and_short_days(spark, sf_dir)))
 
 
-@query("SELECT DISTINCT CAST(ts AS DATE) AS data_date, day(ts) % 4 <> 0 AS complete FROM events")
+@query(f"SELECT data_date, count(*) >= 5 AS complete FROM ({_DAYS_SQL}) GROUP BY 1")
 def partition_size_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sizes_complete(spark, _thinned(spark, sf_dir), _THIN_BYTES)
+    return sizes_complete(spark, table_location(spark, events_and_short_days(spark, sf_dir)), _LARGE_BYTES)
 
 
-@query("""
-    SELECT data_date, CASE WHEN day(data_date) % 4 = 0 THEN 1 ELSE n END AS n_rows, day(data_date) % 4 <> 0 AS large
-    FROM (SELECT CAST(ts AS DATE) AS data_date, count(*) AS n FROM events GROUP BY 1)
-    WHERE data_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-09'""")
+@query(f"SELECT data_date, count(*) AS n_rows, count(*) >= 5 AS large FROM ({_DAYS_SQL}) GROUP BY 1")
 def partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the first of the days asked for is absent
-    asked = [date(2023, 12, 31), *(date(2024, 1, day) for day in range(3, 10))]
-    days = inventory(spark, _thinned(spark, sf_dir), asked)
-    return days.select("data_date", "n_rows", (F.col("bytes") > _THIN_BYTES).alias("large"))
+    days = inventory(spark, table_location(spark, events_and_short_days(spark, sf_dir)))
+    return days.select("data_date", "n_rows", (F.col("bytes") > _LARGE_BYTES).alias("large"))
 
 
 @query(f"""
