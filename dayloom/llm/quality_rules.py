@@ -106,20 +106,35 @@ def rejected(policy: str) -> Column:
     return alone if mask is None else alone | (F.col("fail_bits").bitwiseAND(F.lit(mask)) == F.lit(mask))
 
 
-def ablation(rows: DataFrame, mask: int) -> DataFrame:
-    """One row per rule of the policy: how many it fails, and how many it alone fails (kept without it)."""
+def ablation(rows: DataFrame, mask: int, together: int = 0) -> DataFrame:
+    """One row per rule of the policy: how many it fails, and how many it alone fails (kept without it).
+
+    The rules of ``together``, which reject only as one, are one row, their names joined by ``+``.
+    """
     names = [n for n in RULES if BIT[n] & mask]
     masked = F.col("fail_bits").bitwiseAND(F.lit(mask))
+    both = F.lit(together != 0) & (F.col("fail_bits").bitwiseAND(F.lit(together)) == together)
+    failed = {n: masked.bitwiseAND(F.lit(BIT[n])) != 0 for n in names}
+    alone = {n: (masked == F.lit(BIT[n])) & ~both for n in names}
+    if together:
+        joint = "+".join(n for n in RULES if BIT[n] & together)
+        failed[joint], alone[joint] = both, both & (masked == 0)
+    if not failed:
+        return rows.sparkSession.createDataFrame([], "rule string, failed bigint, alone bigint")
     sums = rows.agg(
-        *[F.count_if(masked.bitwiseAND(F.lit(BIT[n])) != 0).alias(f"{n}_failed") for n in names],
-        *[F.count_if(masked == F.lit(BIT[n])).alias(f"{n}_alone") for n in names],
+        *[F.count_if(c).alias(f"{n}_failed") for n, c in failed.items()],
+        *[F.count_if(c).alias(f"{n}_alone") for n, c in alone.items()],
     )
     each = [F.struct(F.lit(n).alias("rule"), F.col(f"{n}_failed").alias("failed"), F.col(f"{n}_alone").alias("alone"))
-            for n in names]
+            for n in failed]
     return sums.select(F.inline(F.array(*each)))
 
 
-def judged(docs: DataFrame, policy: str = "v2") -> DataFrame:
+def policy_ablation(rows: DataFrame, policy: str) -> DataFrame:
+    return ablation(rows, POLICIES[policy], TOGETHER.get(policy, 0))
+
+
+def judged(docs: DataFrame, policy: str = "v3") -> DataFrame:
     """(doc_id, measurements, fail_bits, base_failed, kept) by a version of the policy."""
     return ledger(docs, ["doc_id"]).select(
         "doc_id", *MEASURES, "fail_bits", fails(BASE).alias("base_failed"), (~rejected(policy)).alias("kept")
@@ -155,5 +170,6 @@ JUDGED_SQL = r"""
           FROM w LEFT JOIN lines USING (r) LEFT JOIN covered USING (r)),
     b AS (SELECT *, """ + " + ".join(f"CASE WHEN {rule} THEN {BIT[n]} ELSE 0 END" for n, rule in RULES.items()) + f""" AS bits FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_stutter,
-           CAST(bits AS BIGINT) AS fail_bits, bits & {BASE} <> 0 AS base_failed, bits & {POLICIES['v2']} = 0 AS kept
+           CAST(bits AS BIGINT) AS fail_bits, bits & {BASE} <> 0 AS base_failed,
+           bits & {POLICIES['v3']} = 0 AND bits & {TOGETHER['v3']} <> {TOGETHER['v3']} AS kept
     FROM b"""
