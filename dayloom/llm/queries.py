@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dayloom.llm import html_extract, license_scan, oracles, quality_rules, url_filter
+from dayloom.llm.alignment import alignments
+from dayloom.llm.collocations import COLLOCATIONS_SQL, collocations
 from dayloom.llm.embedding_dedup import near_duplicates
 from dayloom.llm.language_id import fit, identify
 from dayloom.llm.lattice_lm import likelihoods
@@ -96,10 +98,21 @@ def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return likelihoods(read_given(spark, sf_dir, "documents"), piece_vocabulary())
 
 
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_given(spark, sf_dir, "documents"))
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignments(read_given(spark, sf_dir, "documents"), default_vocabulary(), piece_vocabulary())
+
+
 ORACLES.update(
     op1_url_filter=oracles.url_filter(url_filter.RULES),
     op3_ngram_join=oracles.SIMILAR_GROUPS,
     op5_embedding_dedup=oracles.NEAR_DUPLICATES,
     op7_source_mixing=oracles.source_mixing(MIXTURE),
     op10_quality_rules=quality_rules.JUDGED_SQL,
+    op12_phrase_collocations=COLLOCATIONS_SQL,
 )
