@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dayloom.operators.export import export_days, export_needs_update
 from dayloom.operators.gates import MIN_BYTES
 from dayloom.operators.partitions import backfill_missing_days, retention_keep
+from dayloom.operators.slots import write_slots
 from dayloom.operators.spatial import spatial_first_per_zone
 from dayloom.session import scratch_scope
 from dayloom.sources.zones import zone_table, zone_texts
@@ -39,9 +40,13 @@ def zone_assignment(
     out: str,
     point_id: str,
     slots: Sequence[str] = (),
+    packed: bool = False,
 ) -> None:
     """Write the first point of every target zone per slot, one output partition per slot, gzip Parquet.
 
+    With ``packed`` the slots share files (see ``dayloom.operators.slots``; ``read_slots`` reads them), whose number
+    follows the bytes and not the slots.
+
     ``features`` are GeoJSON lines in ``_c0``, ``targets`` has a ``zip`` column, ``points`` have LONGITUDE and
     LATITUDE and a unique ``point_id``; ``slots`` are columns such as day and hour, all handled by the one job.
     Slots that are written replace those of an earlier run, all others in ``out`` stay. What the job stores on its
@@ -51,6 +56,9 @@ def zone_assignment(
     with scratch_scope(spark):
         zones = zone_table(zone_texts(features, targets))
         first = spatial_first_per_zone(points, zones, point_id, by=slots)
+        if slots and packed:
+            write_slots(first, out, slots, compression="gzip")
+            return
         if slots:
             first = first.hint("rebalance", *slots)
         writer = first.write.mode("overwrite").option("compression", "gzip")

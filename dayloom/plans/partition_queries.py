@@ -14,15 +14,16 @@ from dayloom.operators.lookback import lookback_union as lookback
 from dayloom.operators.gates import BY_DIRECTORY, path_day
 from dayloom.operators.partitions import (
     backfill_missing_folders, drop_days, replace_days, replace_folders, retention_keep as retain, retention_keep_folders,
-    table_location, write_days, write_hourly_slots,
+    table_location,
 )
+from dayloom.operators.slots import compact_slots, pack_hourly_slots, read_slots, slot_index
 from dayloom.plans.inputs import (
     AS_OF, DAILY_ACTIVITY_SQL, SHORT_DAYS_SQL, activity_table, daily_activity, dated_events, events_and_short_days,
     events_by_day,
 )
 from dayloom.plans.jobs import daily_backfill, export_and_check
 from dayloom.plans.registry import query
-from dayloom.session import read_given, scratch_database, scratch_folder
+from dayloom.session import read_given, scratch_folder
 from dayloom.sources.paths import delete
 from dayloom.sources.tables import lookback_days
 
@@ -36,6 +37,23 @@ def lookback_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookback(spark, table_location(spark, events_by_day(spark, sf_dir)), AS_OF, 7)
 
 
+@query("""
+    SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, CAST(round(value * 100) AS DOUBLE) AS cents,
+           CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-20' THEN event_type END AS event_type, CAST(ts AS DATE) AS data_date
+    FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-30'""")
+def lookback_changed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset whose user was an int, then a bigint, now is text, whose cents were whole, and which once had fewer columns."""
+    root, events = scratch_folder(spark), dated_events(spark, sf_dir)
+    cents = F.round(F.col("value") * 100)
+    old = events.select("event_id", F.col("user_id").cast("int"), cents.cast("int").alias("cents"), "data_date")
+    mid = events.select("event_id", "user_id", cents.cast("int").alias("cents"), "event_type", "data_date")
+    new = events.select("event_type", F.col("user_id").cast("string"), "event_id", cents.alias("cents"), "data_date")
+    replace_folders(old.where("data_date < '2024-01-20'"), root)
+    replace_folders(mid.where("data_date BETWEEN '2024-01-20' AND '2024-01-26'"), root)
+    replace_folders(new.where("data_date > '2024-01-26'"), root)
+    return lookback(spark, root, AS_OF, 20, min_bytes=0, layout=BY_DIRECTORY)
+
+
 _DAYS_SQL = f"SELECT CAST(ts AS DATE) AS data_date FROM events UNION ALL {SHORT_DAYS_SQL}"
 _LARGE_BYTES = 2048  # more than the files of a day with four rows, less than those of any day of the events
 
@@ -130,11 +148,24 @@ def backfill_missing_folders_by_day(spark: SparkSession, sf_dir: str) -> DataFra
     SELECT CAST(ts AS DATE) AS data_date, CAST(hour(ts) AS INTEGER) AS hr, count(*) AS n, max(event_id) AS last_event
     FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY ALL""")
 def hourly_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = f"{scratch_database(spark)}.events_by_slot"
-    first_day = AS_OF - timedelta(days=29)
+    root, first_day = scratch_folder(spark), AS_OF - timedelta(days=29)
     # the second range overlaps the first one, and leaves the rest of it
     middle = first_day + timedelta(days=12)
-    write_hourly_slots(read_given(spark, sf_dir, "events"), table, "ts", first_day, middle)
-    write_hourly_slots(read_given(spark, sf_dir, "events"), table, "ts", middle, AS_OF)
-    slots = spark.table(table).groupBy("data_date", "hr")
+    pack_hourly_slots(read_given(spark, sf_dir, "events"), root, "ts", first_day, middle)
+    pack_hourly_slots(read_given(spark, sf_dir, "events"), root, "ts", middle, AS_OF)
+    slots = read_slots(spark, root).groupBy("data_date", "hr")
     return slots.agg(F.count("*").alias("n"), F.max("event_id").alias("last_event"))
+
+
+@query("""
+    SELECT CAST(ts AS DATE) AS data_date, CAST(hour(ts) AS INTEGER) AS hr, count(*) AS n_rows, 1 AS n_files
+    FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY ALL""")
+def slots_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index of slots written by three overlapping runs, then compacted; its rows are those of the slots."""
+    root, events = scratch_folder(spark), read_given(spark, sf_dir, "events")
+    for first, last in ((0, 20), (5, 25), (5, 29)):
+        days = [AS_OF - timedelta(days=29 - back) for back in (first, last)]
+        pack_hourly_slots(events, root, "ts", *days)
+    compact_slots(spark, root)
+    slots = slot_index(spark, root).groupBy("data_date", "hr")
+    return slots.agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).cast("int").alias("n_files"))

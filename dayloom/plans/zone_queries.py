@@ -11,10 +11,11 @@ from dayloom.plans.inputs import (
     EVENT_POINT_CTE, ITEM_POINT_CTE, ITEM_X, ITEM_Y, SHAPES, ZONE_CTE, degrees, event_points, feature_file, geometry_sql,
     hit_cte, item_points, lattice_x, spark_expr, zone_frame,
 )
+from dayloom.operators.slots import read_slots
 from dayloom.plans.jobs import zone_assignment as assign_zones
 from dayloom.plans.registry import query
 from dayloom.session import read_given, scratch_folder
-from dayloom.sources.files import read_csv_columns, read_parquet, read_tsv
+from dayloom.sources.files import read_csv_columns, read_tsv
 from dayloom.sources.zones import zone_table, zone_texts
 
 _CLEAN = geometry_sql("")
@@ -124,8 +125,8 @@ def zone_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a run per half of the days; the second leaves what the first one wrote
     for half in ("data_date < '2024-01-16'", "data_date >= '2024-01-16'"):
         names = read_csv_columns(spark, target_path, "zip")
-        assign_zones(features, names, points.where(half), out, "event_id", ["data_date", "hr"])
-    return read_parquet(spark, out)
+        assign_zones(features, names, points.where(half), out, "event_id", ["data_date", "hr"], packed=True)
+    return read_slots(spark, out)
 
 
 _FAR = 3_000_000_000

@@ -34,6 +34,15 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(found)) if files.exists(found) else []
 
 
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a folder however deep, or the file itself; names that begin with ``_`` or ``.`` are no data."""
+    files, found = _open(spark, path)
+    if not files.getFileStatus(found).isDirectory():
+        return [path]
+    names = [s.getPath().getName() for s in files.listStatus(found)]
+    return [f for name in sorted(names) if name[0] not in "_." for f in files_below(spark, f"{path.rstrip('/')}/{name}")]
+
+
 def _rename(files, source, target) -> bool:
     return files.rename(source, target)
 
