@@ -1,30 +1,41 @@
 """Main text of web pages by the maximum-scoring run of words and tags.
 
-A page is read once as a sequence of chunks of text and tags. Each chunk has a *kind*: the nearest enclosing element that
-is furniture by its tag, role, class or id (``footer``, ``div.ad``), else the nearest block (``p``). A word scores the
-weight of its kind, an opening tag outside of furniture the weight of its name; a linear scan finds the contiguous run with the largest sum. The text
-of that run, without its furniture, is the result.
+A page is read once as a sequence of chunks of text and tags. Each chunk has a *kind*: the outermost enclosing element that
+is furniture (``footer``, ``div.ad``), else the nearest block (``p``). A word scores the weight of its kind, an opening tag
+outside of furniture the weight of its name; a linear scan finds the contiguous run with the largest sum. The text of that run, without
+its furniture, is the result.
+
+An element is a candidate for furniture by its tag, its role, or a class or id that names such a part: one whose last word is such a
+name (``site-header``), or its first and only fillers follow (``share-buttons``); words that say what a wrapper has or lacks (``with-sidebar``,
+``no-share``, ``comments-enabled``) name nothing. A candidate is not furniture if its name was learned to wrap content, if it holds
+ten times the words that lie in no candidate, or if it holds all ``article`` and ``main`` of the page and at least as many words as the
+rest. ``nav``, ``footer`` and what is hidden always are.
 
 Weights are learned from labelled pages, those that mark their content by ``article`` or ``main``: the log-odds of a
-kind's words, and of a tag, to stand inside. They come from about ``sample`` of the marked pages drawn by a hash;
-kinds that were not met fall back on what their tag says. Every page is then read whole.
+kind's words, and of a tag, to stand inside; and of a name, to hold most words of the marked content rather than some of it or of the rest. They come
+from about ``sample`` of the marked pages drawn by a hash; kinds that were not met fall back on what their tag says. Every page is then
+read whole, in time that grows with its length: what is open is looked up by name, never walked through.
 
-A head whose end tag was left out ends at the first tag or word that cannot stand in it, a title or button of which no end
-tag follows before the next one ends at the next block.
+End tags may be left out as HTML allows: a list item, table cell, row or part, term or option ends at the next one of its list or table, a paragraph at
+a block, a head at the first tag or word that cannot stand in it, a title or button of which no end tag follows before
+the next one ends at the next block.
 
 Character references are decoded. A block or ``br`` ends a word, an inline tag does not; white space becomes one space.
 
-Defined results: a null or empty page, or one without a positive run, has an empty text; markup that is never closed
-ends with its parent; equal pages get equal texts; an empty table gives no rows; other columns are not read.
+Defined results: a null or empty page, or one without a positive run, has an empty text; of runs with equal sums the one that ends first counts,
+begun as late as its sum allows; markup that is never closed ends with its parent; equal pages get equal texts; an empty table gives no rows; other columns
+are not read.
 """
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -54,6 +65,13 @@ _NAMES = set(
     " modal overlay newsletter subscribe subscription signup login share sharing social related recommended"
     " recommendations comment comments disqus reply replies respond widget widgets toolbar pagination pager".split()
 )
+# what may follow such a name in a class or id without changing what it names
+_FILLERS = set(
+    "area bar block bottom box button buttons container content group holder icon icons inner item items left link links list"
+    " outer panel posts right row section side slot top unit wrap wrapper zone".split()
+)
+# a class or id with one of these says what its element has or lacks, or what state it is in
+_STATES = set("with without has have no not non enabled disabled free open closed on off is hide show supports using".split())
 _MAIN = {"article", "main"}
 _WHOLE = {"html", "body"} | _MAIN
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,58 +80,162 @@ _INLINE = set(
     " time tt u var wbr img label".split()
 )
 _NAME_PART = re.compile(r"[a-z]+")
-# what ("text", "tag" or "end": a closing tag or one within furniture), kind or tag name, text, inside article or main
-Chunk = tuple[str, str, str, bool]
-
-
-def _is_furniture(name: str, rest: str) -> str:
-    """The kind of a furniture element; empty for others."""
-    if name in _FURNITURE:
-        return name
-    if not rest or name in _WHOLE:
-        return ""
-    for found in _ATTRIBUTE.finditer(rest):
-        key = found[1].lower()
-        value = (found[2] or found[3] or found[4] or "").lower()
-        if key == "role" and value in _ROLES:
-            return f"{name}@{value}"
-        if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return f"{name}@hidden"
-        if key in ("class", "id"):
-            for part in _NAME_PART.findall(value):
-                if part in _NAMES:
-                    return f"{name}.{part}"
+_ALWAYS = {"nav", "footer"}  # furniture whatever it holds; so are hidden elements and these roles
+_ALWAYS_ROLES = {"navigation", "contentinfo", "alert", "dialog", "menu", "menubar"}
+_SECTIONS = {"article", "section", "main", "nav", "aside", "header", "footer", "form", "body", "table", "td", "th", "blockquote", "figure"}
+# start tag -> the open elements it ends, and those it does not look beyond
+_ROWS = {"table", "body"}
+_ENDS = {
+    "li": ({"li"}, {"ul", "ol", "menu"} | _SECTIONS),
+    "dt": ({"dt", "dd"}, {"dl"} | _SECTIONS),
+    "dd": ({"dt", "dd"}, {"dl"} | _SECTIONS),
+    "td": ({"td", "th"}, {"tr"} | _ROWS),
+    "th": ({"td", "th"}, {"tr"} | _ROWS),
+    "tr": ({"tr", "td", "th"}, _ROWS),
+    "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, _ROWS),
+    "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, _ROWS),
+    "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, _ROWS),
+    "rt": ({"rt", "rp"}, {"ruby"}),
+    "rp": ({"rt", "rp"}, {"ruby"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}),
+    "option": ({"option"}, {"select", "optgroup"}),
+}
+WRAPPER = 10  # times the words that lie in no candidate make a candidate a wrapper of the content
+LEAST_WORDS = 20  # that a wrapper has
+LEARNED = 0.5  # weight from which a name is one of content
+
+
+class Chunk(NamedTuple):
+    what: str  # "text", "tag", or "end": a closing tag
+    name: str  # of the tag, or of the nearest block around the text
+    text: str
+    candidate: int  # the innermost one around it, -1 for none
+    inside: bool  # article or main
+
+
+class Candidate(NamedTuple):
+    kind: str
+    outer: int  # the next candidate around it, -1 for none
+    always: bool
+    named: bool  # by class or id
+    inside: bool  # article or main
+
+
+class Page(NamedTuple):
+    chunks: list[Chunk]
+    candidates: list[Candidate]
+    mains: list[int]  # of each article and main the innermost candidate around it
+
+
+def _named_part(value: str) -> str:
+    """The furniture name that a class or id gives its element; empty for none."""
+    for token in value.lower().split():
+        parts = _NAME_PART.findall(token)
+        if _STATES.intersection(parts):
+            continue
+        for i, part in enumerate(parts):
+            if part in _NAMES and all(p in _FILLERS or p in _NAMES for p in parts[i + 1 :]):
+                return part
     return ""
 
 
-def _ended_by(name: str, stack: list[tuple[str, str, bool]]) -> int | None:
-    """The depth of the lowest element that the start tag of ``name`` ends because its end tag was left out."""
-    depth = None
-    for i in range(len(stack) - 1, -1, -1):
-        above, _, loose = stack[i]
-        if above == "head":
-            return depth if name in _IN_HEAD else i
-        if loose and (name == above or name not in _INLINE | _IN_HEAD | _RAW | _VOID):
-            depth = i
-        elif loose or above not in _INLINE:
-            break
-    return depth
-
-
-def chunks(page: str) -> Iterator[Chunk]:
+def _furniture_kind(name: str, rest: str) -> tuple[str, bool, bool]:
+    """(kind, always furniture, named by class or id) of a candidate; an empty kind for other elements."""
+    kind, always, named = "", name in _ALWAYS, False
+    if rest and name not in _WHOLE:
+        for found in _ATTRIBUTE.finditer(rest):
+            key = found[1].lower()
+            value = (found[2] or found[3] or found[4] or "").lower()
+            if key == "hidden" or (key == "aria-hidden" and value == "true"):
+                return f"{name}@hidden", True, False
+            if key == "role" and value in _ROLES:
+                kind, always = f"{name}@{value}", always or value in _ALWAYS_ROLES
+            elif key in ("class", "id") and not kind and (part := _named_part(value)):
+                kind, named = f"{name}.{part}", True
+    if name in _FURNITURE:
+        return name, always, False
+    return kind, always, named and "@" not in kind
+
+
+class _Open:
+    """The open elements of a page. Everything asked of them takes the same time however many there are."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.blocks: list[int] = []  # depth of the nearest element that is not inline, itself included; -1 for none
+        self.paragraphs: list[int] = []  # depth of a paragraph with only inline elements above it; -1 for none
+        self.candidates: list[int] = []
+        self.loose: list[bool] = []  # a block ends it
+        self.places: dict[str, list[int]] = {}
+        self.unseen = self.mains = 0  # open elements whose text is not shown; open article and main
+
+    def push(self, name: str, candidate: int, loose: bool) -> None:
+        at, inline = len(self.names), name in _INLINE
+        self.blocks.append(at if not inline else self.blocks[-1] if at else -1)
+        self.paragraphs.append(at if name == "p" else self.paragraphs[-1] if inline and at else -1)
+        self.names.append(name)
+        self.candidates.append(candidate)
+        self.loose.append(loose)
+        self.places.setdefault(name, []).append(at)
+        self.unseen += name in _UNSEEN
+        self.mains += name in _MAIN
+
+    def cut(self, depth: int) -> None:
+        """Close all from this depth on."""
+        while len(self.names) > depth:
+            name = self.names.pop()
+            self.places[name].pop()
+            self.unseen -= name in _UNSEEN
+            self.mains -= name in _MAIN
+            for column in (self.blocks, self.paragraphs, self.candidates, self.loose):
+                column.pop()
+
+    def last(self, name: str) -> int:
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
+    def candidate(self) -> int:
+        return self.candidates[-1] if self.candidates else -1
+
+    def block(self) -> str:
+        return self.names[self.blocks[-1]] if self.names and self.blocks[-1] >= 0 else "body"
+
+    def begin(self, name: str) -> None:
+        """Close what the start tag of ``name`` ends because its own end tag was left out."""
+        depth = self._unseen_ended_by(name) if self.unseen else -1
+        if depth >= 0:
+            self.cut(depth)
+        if name in _ENDS:
+            ended, within = _ENDS[name]
+            wall = max(map(self.last, within))
+            found = [d for d in map(self.last, ended) if d > wall]
+            if found:
+                # the outermost of them, say the row around a cell
+                self.cut(min(found))
+        if name not in _INLINE and self.paragraphs and self.paragraphs[-1] >= 0:
+            self.cut(self.paragraphs[-1])
+
+    def _unseen_ended_by(self, name: str) -> int:
+        depth, at = -1, self.blocks[-1] if self.blocks else -1
+        while at >= 0:
+            if self.names[at] == "head":
+                return depth if name in _IN_HEAD else at
+            if not (self.loose[at] and (name == self.names[at] or name not in _INLINE | _IN_HEAD | _RAW | _VOID)):
+                break
+            depth, at = at, self.blocks[at - 1] if at else -1
+        return depth
+
+
+def parsed(page: str) -> Page:
     """The page as text and tags in order; scripts, styles, comments and what is never shown are left out."""
-    stack: list[tuple[str, str, bool]] = []  # open elements: name, kind if furniture, whether a block ends it
+    chunks: list[Chunk] = []
+    candidates: list[Candidate] = []
+    mains: list[int] = []
+    stack = _Open()
     at = 0
-    unseen = 0  # open elements whose text is not shown
-
-    def kind() -> str:
-        for name, furniture, _ in stack:  # the outermost furniture decides
-            if furniture:
-                return furniture
-        return next((name for name, *_ in reversed(stack) if name not in _INLINE), "body")
-
-    def inside() -> bool:
-        return any(name in _MAIN for name, *_ in stack)
+    last = page.rfind(">") + 1  # no tag ends behind it
+    shown = page.find("<!--", last)
+    end_of_page = len(page) if shown < 0 else shown  # a comment without an end hides the rest
 
     next_tag: dict[str, re.Match[str] | None] = {}
 
@@ -127,19 +249,18 @@ def chunks(page: str) -> Iterator[Chunk]:
     endless: set[str] = set()  # elements without an end tag in the rest of the page
 
     def end_of(name: str) -> re.Match[str] | None:
-        found = None if name in endless else re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+        found = None if name in endless else re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at, last)
         if not found:
             endless.add(name)
         return found
 
     while at < len(page):
-        found = _TAG.search(page, at)
-        text = page[at : found.start() if found else len(page)]
-        if stack and stack[-1][0] == "head" and text.strip():
-            stack.pop()
-            unseen -= 1
-        if text and not unseen:
-            yield "text", kind(), text, inside()
+        found = _TAG.search(page, at, last) if at < last else None
+        text = page[at : found.start() if found else end_of_page]
+        if stack.names and stack.names[-1] == "head" and text.strip():
+            stack.cut(len(stack.names) - 1)
+        if text and not stack.unseen:
+            chunks.append(Chunk("text", stack.block(), text, stack.candidate(), stack.mains > 0))
         if not found:
             break
         at = found.end()
@@ -147,41 +268,94 @@ def chunks(page: str) -> Iterator[Chunk]:
         if not name:
             continue
         if found["close"]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is not None:
-                unseen -= sum(n in _UNSEEN for n, *_ in stack[depth:])
-                del stack[depth:]
-            if not unseen and name not in _INLINE:
-                yield "end", name, "", inside()
+            depth = stack.last(name)
+            if depth >= 0:
+                stack.cut(depth)
+            if not stack.unseen and name not in _INLINE:
+                chunks.append(Chunk("end", name, "", stack.candidate(), stack.mains > 0))
             continue
         rest = found["rest"] or ""
-        depth = _ended_by(name, stack) if unseen else None
-        if depth is not None:
-            unseen -= sum(n in _UNSEEN for n, *_ in stack[depth:])
-            del stack[depth:]
-        if not unseen and not any(furniture for _, furniture, _ in stack):
-            yield "tag", name, "", inside()
-        elif not unseen and name not in _INLINE:
-            yield "end", name, "", inside()
+        stack.begin(name)
+        if not stack.unseen:
+            chunks.append(Chunk("tag", name, "", stack.candidate(), stack.mains > 0))
         if name in _VOID or rest.endswith("/"):
             continue
-        if name in _RAW and not unseen:
+        if name in _RAW and not stack.unseen:
             end = end_of(name)
             at = end.end() if end else len(page)
             continue
         if name in _PLAIN and (end := end_of(name)):
             at = end.end()
             continue
-        if name not in _INLINE:  # a block ends an open paragraph
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    del stack[i:]
-                    break
-                if stack[i][0] not in _INLINE:
-                    break
+        candidate = stack.candidate()
+        kind, always, named = _furniture_kind(name, rest)
+        if kind and not stack.unseen:
+            candidates.append(Candidate(kind, candidate, always, named, stack.mains > 0))
+            candidate = len(candidates) - 1
+        if name in _MAIN and not stack.unseen:
+            mains.append(candidate)
         after = following(name) if name in _LOOSE else None
-        stack.append((name, _is_furniture(name, rest), name in _LOOSE and not (after and after[1])))
-        unseen += name in _UNSEEN
+        stack.push(name, candidate, name in _LOOSE and not (after and after[1]))
+    return Page(chunks, candidates, mains)
+
+
+def _held(page: Page) -> tuple[list[int], list[int], list[int], int]:
+    """Of each candidate: its words, those in no inner one, the mains in it; and the words that lie in no candidate."""
+    own, mains = [0] * len(page.candidates), [0] * len(page.candidates)
+    free = 0
+    for chunk in page.chunks:
+        if chunk.what == "text":
+            n = len(chunk.text.split())
+            if chunk.candidate < 0:
+                free += n
+            else:
+                own[chunk.candidate] += n
+    for candidate in page.mains:
+        if candidate >= 0:
+            mains[candidate] += 1
+    words = own.copy()
+    for i in range(len(words) - 1, -1, -1):  # inner ones come later
+        outer = page.candidates[i].outer
+        if outer >= 0:
+            words[outer] += words[i]
+            mains[outer] += mains[i]
+    return words, own, mains, free
+
+
+def furniture(page: Page, weights: Weights) -> list[str]:
+    """The outermost furniture around each candidate, itself included, by its kind; empty for none."""
+    words, own, mains, free = _held(page)
+    content = [not c.always and c.named and weights.words.get(c.kind, 0.0) > LEARNED for c in page.candidates]
+    inner: dict[int, list[int]] = {}
+    for i, c in enumerate(page.candidates):
+        inner.setdefault(c.outer, []).append(i)
+    waiting: list[tuple[int, int]] = []  # candidates around which all is content, the one with most words first
+
+    def open_up(around: int) -> None:
+        nonlocal free
+        opened = [around]
+        while opened:
+            for i in inner.get(opened.pop(), []):
+                if content[i]:
+                    free += own[i]
+                    opened.append(i)
+                elif not page.candidates[i].always:
+                    heapq.heappush(waiting, (-words[i], i))
+
+    open_up(-1)
+    while waiting:
+        size, i = heapq.heappop(waiting)
+        marked = page.mains and mains[i] == len(page.mains) and -size >= free
+        if -size < LEAST_WORDS or not (marked or -size > WRAPPER * free):
+            continue
+        content[i] = True
+        free += own[i]
+        open_up(i)
+    out: list[str] = []
+    for i, c in enumerate(page.candidates):
+        around = out[c.outer] if c.outer >= 0 else ""
+        out.append(around or ("" if content[i] else c.kind))
+    return out
 
 
 class Weights:
@@ -191,7 +365,9 @@ class Weights:
         self.words, self.tags = words or {}, tags or {}
 
     def word(self, kind: str) -> float:
-        return self.words.get(kind, FURNITURE_WORD if _furniture(kind) else 1.0)
+        if _furniture(kind):
+            return max(FURNITURE_WORD, min(0.0, self.words.get(kind, FURNITURE_WORD)))
+        return self.words.get(kind, 1.0)
 
     def tag(self, name: str) -> float:
         return self.tags.get(name, -LINK if name == "a" else 0.0 if name in _INLINE or name == "br" else -TAG_SHARE)
@@ -201,28 +377,51 @@ def _furniture(kind: str) -> bool:
     return kind in _FURNITURE or "." in kind or "@" in kind
 
 
-def _count(page: str) -> Counter[tuple[str, str, bool]]:
-    """Words by kind and tags by name, inside and outside of the marked content; nothing for an unmarked page."""
+def _count(text: str) -> Counter[tuple[str, str, bool]]:
+    """Words by kind and tags by name, inside and outside of the marked content; nothing for an unmarked page.
+
+    Words of a name stand inside if it holds most words of the marked content, or all of that and little else.
+    """
+    page = parsed(text)
     seen: Counter[tuple[str, str, bool]] = Counter()
-    for what, kind, text, inside in chunks(page):
-        if what != "end":
-            seen[what, kind, inside] += len(text.split()) if what == "text" else 1
-    return seen if any(inside for _, _, inside in seen) else Counter()
+    if not page.mains:
+        return seen
+    around = furniture(page, Weights())
+    marked = 0
+    for chunk in page.chunks:
+        kind = around[chunk.candidate] if chunk.candidate >= 0 else ""
+        if chunk.what == "text":
+            n = len(chunk.text.split())
+            marked += n * chunk.inside
+            if "." not in kind:
+                seen["text", kind or chunk.name, chunk.inside] += n
+        elif chunk.what == "tag" and not kind:
+            seen["tag", chunk.name, chunk.inside] += 1
+    words, _, mains, _ = _held(page)
+    for i, c in enumerate(page.candidates):
+        if c.named:
+            holds = 2 * words[i] > marked if c.inside else mains[i] == len(page.mains) and words[i] < 2 * marked
+            seen["name", c.kind, holds] += words[i]
+    return seen
 
 
 def learned(totals: dict[tuple[str, str, bool], int]) -> Weights:
     """Weights from counts of (what, kind, inside)."""
-    out: dict[str, dict[str, float]] = {"text": {}, "tag": {}}
+    words: dict[str, float] = {}
+    tags: dict[str, float] = {}
     for what, kind in {(w, k) for w, k, _ in totals}:
-        default = Weights().word(kind) if what == "text" else Weights().tag(kind)
         within, without = totals.get((what, kind, True), 0), totals.get((what, kind, False), 0)
-        if what == "text":
+        if what == "name":
+            words[kind] = max(-2.0, min(2.0, math.log((within + 0.5) / (without + 10.5))))
+        elif what == "text":
+            default = Weights().word(kind)
             odds = math.log((within + 10 * (default > 0) + 0.5) / (without + 10 * (default < 0) + 0.5))
-            out[what][kind] = max(FURNITURE_WORD, min(0.0, odds)) if _furniture(kind) else max(-2.0, min(2.0, odds))
+            words[kind] = max(FURNITURE_WORD, min(0.0, odds)) if _furniture(kind) else max(-2.0, min(2.0, odds))
         else:
             odds = math.log((within + 5) / (without + 5))
-            out[what][kind] = max(-LINK if kind == "a" else -TAG_SHARE, min(0.0, 0.1 * odds + default / 2))
-    return Weights(out["text"], out["tag"])
+            least = -LINK if kind == "a" else -TAG_SHARE
+            tags[kind] = max(least, min(0.0, 0.1 * odds + Weights().tag(kind) / 2))
+    return Weights(words, tags)
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Weights:
@@ -249,14 +448,17 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> Weights:
 
 def main_text(page: str | None, weights: Weights) -> str:
     """The text of the best run of one page."""
+    read = parsed(page or "")
+    around = furniture(read, weights)
     parts: list[tuple[float, str]] = []  # score, text as it will be written
-    for what, kind, text, _ in chunks(page or ""):
+    for what, name, text, candidate, _ in read.chunks:
+        kind = around[candidate] if candidate >= 0 else ""
         if what != "text":
-            parts.append((weights.tag(kind) if what == "tag" else 0.0, "" if kind in _INLINE else " "))
-        elif _furniture(kind):
+            parts.append((weights.tag(name) if what == "tag" and not kind else 0.0, "" if name in _INLINE else " "))
+        elif kind:
             parts.append((weights.word(kind) * len(text.split()), ""))
         else:
-            parts.append((weights.word(kind) * len(text.split()), html.unescape(text)))
+            parts.append((weights.word(name) * len(text.split()), html.unescape(text)))
     best = total = 0.0
     start, found = 0, (0, 0)
     for i, (score, _) in enumerate(parts):
