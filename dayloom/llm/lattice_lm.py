@@ -27,9 +27,9 @@ depend on the order of summation.
 
 from __future__ import annotations
 
+import itertools
 import math
 import uuid
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -103,44 +103,47 @@ def walker(weights: Weights):
     return _WALKERS[weights.name]
 
 
-def _plus(a: float, b: float) -> float:
-    """log(exp(a) + exp(b))"""
-    if a < b:
-        a, b = b, a
-    return a if b == _NONE else a + math.log1p(math.exp(b - a))
+def _forward(pieces, text: str, found=None) -> list[float]:
+    """The logarithms of the probabilities of all openings of a text; ``found`` gets the pieces met, by ascending end."""
+    exp, log1p = math.exp, math.log1p
+    reached = [0.0] + [_NONE] * len(text)
+    for last, piece in pieces.iter(text):
+        end = last + 1
+        new, old = reached[end - piece[0]] + piece[1], reached[end]
+        if old < new:
+            reached[end] = new + log1p(exp(old - new))  # exp(-inf) is 0
+        elif old > _NONE:
+            reached[end] = old + log1p(exp(new - old))
+        if found is not None:
+            found[0].append(end)
+            found[1].append(piece)
+    return reached
 
 
 def marginal(pieces, word: bytes) -> float:
     """The natural logarithm of the probability of a word, with the space before it, over all its segmentations."""
-    text = " " + word.decode("latin-1")
-    reached = [0.0] + [_NONE] * len(text)
-    for last, (length, log, _) in pieces.iter(text):  # by ascending end
-        reached[last + 1] = _plus(reached[last + 1], reached[last + 1 - length] + log)
-    return reached[-1]
+    return _forward(pieces, " " + word.decode("latin-1"))[-1]
+
 
+def expected_uses(pieces, word: bytes, times: int, uses: list[int]) -> None:
+    """Add to ``uses`` how often each piece is expected in ``times`` such words, in units of 2^-16.
 
-def expected_uses(pieces, word: bytes, times: int, uses: dict[int, int]) -> None:
-    """Add to ``uses`` how often each piece is expected in ``times`` such words, in units of 2^-16."""
+    From the end back, the share of segmentations that pass a place is dealt to the pieces that end there, by how much
+    of the forward sum each brought.
+    """
+    exp, unit = math.exp, _UNIT
     text = " " + word.decode("latin-1")
-    n = len(text)
-    reached, rest = [0.0] + [_NONE] * n, [_NONE] * n + [0.0]
-    ends, which, lengths, logs = array("q"), array("q"), array("q"), array("d")
-    for last, (length, log, i) in pieces.iter(text):
-        reached[last + 1] = _plus(reached[last + 1], reached[last + 1 - length] + log)
-        ends.append(last + 1)
-        which.append(i)
-        lengths.append(length)
-        logs.append(log)
-    whole = reached[-1]
-    for k in range(len(ends) - 1, -1, -1):
-        end, log = ends[k], logs[k]
-        start = end - lengths[k]
-        after = rest[end] + log
-        if after > _NONE:
-            rest[start] = _plus(rest[start], after)
-            part = int(math.exp(reached[start] + after - whole) * _UNIT + 0.5)
-            if part:
-                uses[which[k]] = uses.get(which[k], 0) + times * part
+    ends: list[int] = []
+    met: list[tuple] = []
+    reached = _forward(pieces, text, (ends, met))
+    passing = [0.0] * len(text) + [1.0]
+    for end, (length, log, i) in zip(reversed(ends), reversed(met)):
+        there = passing[end]
+        if there:
+            start = end - length
+            share = there * exp(reached[start] + log - reached[end])
+            passing[start] += share
+            uses[i] += times * int(share * unit + 0.5)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -186,13 +189,13 @@ def fit(words: DataFrame, start: Weights, rounds: int = ROUNDS) -> Weights:
         sent = spark.sparkContext.broadcast(weights)
 
         def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            pieces, uses = walker(sent.value), {}
+            pieces, uses = walker(sent.value), [0] * len(sent.value.logs)
             for batch in batches:
-                for word, times in zip(batch.column(0), batch.column(1).to_pylist()):
-                    expected_uses(pieces, word.as_py(), times, uses)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(uses.keys(), pa.int32()), pa.array(uses.values(), pa.int64())], ["piece", "uses"]
-            )
+                for word, times in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    expected_uses(pieces, word, times, uses)
+            used = [i for i, n in enumerate(uses) if n]
+            arrays = [pa.array(used, pa.int32()), pa.array([uses[i] for i in used], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["piece", "uses"])
 
         spelled = taught.where(F.col("word") != F.lit(END)).select("word", "c")
         sums = spelled.mapInArrow(expect, "piece int, uses bigint").groupBy("piece").agg(F.sum("uses").alias("uses"))
@@ -229,8 +232,9 @@ def score_documents(docs: DataFrame, scored: DataFrame, keep: dict[str, Column],
     spark = docs.sparkSession
     common, _ = head(scored.where(F.length("word") <= LONGEST_HOT), "n", HOT)
     few = common.select("word", "c", "base", "score").toArrow()
-    known = {w: (c > 0, b, s) for w, c, b, s in zip(*[column.to_pylist() for column in few.columns])}
-    sent = spark.sparkContext.broadcast(known)
+    places = {word: i for i, word in enumerate(few["word"].to_pylist())}
+    values = [(few["c"].to_numpy() > 0).astype(np.int64), few["base"].to_numpy(), few["score"].to_numpy()]
+    sent = spark.sparkContext.broadcast((places, values))
     names = list(keep)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -239,24 +243,21 @@ def score_documents(docs: DataFrame, scored: DataFrame, keep: dict[str, Column],
     )
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look_up = sent.value.get
+        places, (known, bases, scores) = sent.value
         for batch in batches:
             out: list[tuple] = []
             for value in batch.column(2):
                 counts = Counter(value.as_py().lower().split())
                 n_tokens = counts.total() + 1
                 counts[END] = 1
-                n_known, bases, scores, rest, times = 0, [], [], [], []
-                for word, n in counts.items():
-                    found = look_up(word)
-                    if found is None:
-                        rest.append(word)
-                        times.append(n)
-                    else:
-                        n_known += n * found[0]
-                        bases.append(n * found[1])
-                        scores.append(n * found[2])
-                out.append((n_tokens, n_known, math.fsum(bases), math.fsum(scores), rest, times))
+                place = np.fromiter(map(places.get, counts, itertools.repeat(-1)), np.int64, len(counts))
+                times = np.fromiter(counts.values(), np.int64, len(counts))
+                common = place >= 0
+                at, n = place[common], times[common]
+                words = list(counts)
+                rest = [words[i] for i in np.flatnonzero(~common)]
+                sums = int(n @ known[at]), float(n @ bases[at]), float(n @ scores[at])
+                out.append((n_tokens, *sums, rest, times[~common]))
             cells = list(zip(*out)) if out else [()] * 6
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
             arrays = [batch.column(0), batch.column(1), *[pa.array(c, k) for c, k in zip(cells, kinds)]]
