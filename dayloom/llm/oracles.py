@@ -117,14 +117,14 @@ def url_filter(rules: list[Rule], settings: Settings = Settings()) -> str:
         SELECT host, template, segments[{level + 1}] AS child, sum(n) AS n, sum(good) AS good, sum(bad) AS bad
         FROM {tree} WHERE len(segments) > {level} GROUP BY ALL),
     whole{level} AS (
-        SELECT *, count(*) OVER node AS n_children, sum(n) OVER node AS all_n,
+        SELECT *, count(*) OVER node AS n_children, good + bad AS labelled,
                (sum(bad) OVER node + {settings.prior}) / (sum(good) OVER node + sum(bad) OVER node + 1) AS rate
         FROM child{level} WINDOW node AS (PARTITION BY host, template)),
     step{level} AS (
         SELECT host, template, child,
-               CASE WHEN (n_children > {settings.max_children} AND n < {settings.least_share} * all_n)
-                      OR (n_children > 1 AND NOT abs(bad - (good + bad) * rate)
-                                                 > {settings.z} * sqrt((good + bad) * rate * (1 - rate)))
+               CASE WHEN n_children = 1 THEN child
+                    WHEN labelled = 0 THEN '?' || regexp_extract(child, '^\*(\.[A-Za-z]+)$', 1)
+                    WHEN NOT abs(bad - labelled * rate) > {settings.z} * sqrt(labelled * rate * (1 - rate))
                     THEN '*' || regexp_extract(child, '^\*(\.[A-Za-z]+)$', 1) ELSE child END AS step
         FROM whole{level}),
     tree{level} AS (

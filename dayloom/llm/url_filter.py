@@ -5,10 +5,10 @@ path, and the longest rule that fits decides. Other urls are judged by their tem
 
 1. The first ``DEPTH`` segments of a path are the levels of its host's tree; deeper ones become ``**``. Segments with a
    digit are variable at once: ``17.html`` is ``*.html``.
-2. Level by level, at each node, a child becomes a wildcard when the node has more than ``max_children`` children and
-   the child less than ``least_share`` of its urls (variable segment), or when its labels do not differ from those of
-   the whole node by ``z`` standard errors (branches that are statistically similar merge). A child that does differ
-   stays a branch of its own.
+2. Level by level, at each node that has several children: those with labels whose share of bad ones does not differ from that of the
+   whole node by ``z`` standard errors merge into the wildcard ``*`` (branches that are statistically similar); one that does
+   differ stays a branch of its own, however rare; those without any label merge into a wildcard ``?`` of their own, so no label
+   of a sibling speaks for them. An only child keeps its name.
 3. A template is rejected when its smoothed share of bad labels, (bad + a p) / (labelled + a), reaches ``reject``; without
    labels it has the prior p.
 
@@ -16,7 +16,7 @@ Urls are first counted per host and masked path, so the tree works on counts; on
 used, and a hot host is combined before it is shuffled.
 
 Defined results: a null url or one without ``://`` has an empty host and path and is judged by the template of that
-host; equal rows get equal rows; an empty table gives no rows; other columns are not read.
+host; of two equally long rules that fit the first in the list decides; equal rows get equal rows; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -53,8 +53,6 @@ RULES = [
 class Settings(NamedTuple):
     """What decides about wildcards, merging and rejection."""
 
-    max_children: int = 8
-    least_share: float = 0.05
     z: float = 3.0
     prior: float = 0.1
     strength: float = 4.0
@@ -77,9 +75,9 @@ def _after_scheme(url: Column) -> Column:
 
 
 def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
-    """(name, verdict) of the longest rule that fits, else null."""
+    """(name, verdict) of the longest rule that fits, the first of equally long ones, else null."""
     found = F.lit(None).cast("struct<name:string,verdict:string>")
-    for rule in sorted(rules, key=lambda r: len(r.name)):
+    for rule in sorted(reversed(rules), key=lambda r: len(r.name)):  # the last that fits stays
         fits = ((host == rule.host) | host.endswith("." + rule.host)) & path.startswith(rule.path)
         found = F.when(fits, F.struct(F.lit(rule.name).alias("name"), F.lit(rule.verdict).alias("verdict"))).otherwise(found)
     return found
@@ -104,16 +102,16 @@ def path_templates(counted: DataFrame, settings: Settings) -> DataFrame:
         tree = tree.withColumn("child", F.get("segments", F.lit(level)))
         children = tree.where("child IS NOT NULL").groupBy(*node, "child").agg(*sums)
         whole = children.groupBy(*node).agg(
-            F.count("*").alias("n_children"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "good", "bad")]
+            F.count("*").alias("n_children"), *[F.sum(c).alias(f"all_{c}") for c in ("good", "bad")]
         )
         labelled, all_labelled = F.col("good") + F.col("bad"), F.col("all_good") + F.col("all_bad")
         rate = (F.col("all_bad") + settings.prior) / (all_labelled + 1)
         apart = F.abs(F.col("bad") - labelled * rate) > settings.z * F.sqrt(labelled * rate * (1 - rate))
-        rare = (F.col("n_children") > settings.max_children) & (F.col("n") < settings.least_share * F.col("all_n"))
-        wild = rare | ((F.col("n_children") > 1) & ~apart)
+        several = F.col("n_children") > 1
+        wildcard = F.when(several & (labelled == 0), "?").when(several & ~apart, "*")
         # a suffix such as .html is no variable part
-        general = F.concat(F.lit("*"), F.regexp_extract("child", r"^\*(\.[A-Za-z]+)$", 1))
-        named = children.join(whole, node).select(*node, "child", F.when(wild, general).otherwise(F.col("child")).alias("step"))
+        general = F.concat(wildcard, F.regexp_extract("child", r"^\*(\.[A-Za-z]+)$", 1))
+        named = children.join(whole, node).select(*node, "child", F.coalesce(general, "child").alias("step"))
         # stored: each level reads the tree twice, and a plan of all levels would double with each
         tree = stored(tree.join(named, [*node, "child"], "left").withColumn(
             "template", F.when(F.col("step").isNull(), F.col("template")).otherwise(F.concat_ws("/", "template", "step"))
