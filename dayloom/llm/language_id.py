@@ -2,20 +2,19 @@
 
 The network is trained on the driver from a bounded sample: ``sample`` windows of labelled documents outside the held-out
 fold, chosen by a hash of doc_id, each cut at a hashed place of its text. Every language has its part of the sample, by
-its count over all rows, so a rare one is learned from a table of any size; labels are taken to be few. Every byte of every text is then labelled on
+its count over all rows, so a rare one is learned from a table of any size; of more than ``max_labels`` labels the most frequent ones are learned. Every byte of every text is then labelled on
 the executors, and a document's prediction is the label with the largest mean probability over its bytes.
 
 Labels, source and doc_id are no inputs of a prediction. A document is held out when crc32 of its doc_id as text leaves
 0 modulo 5 (a null doc_id counts as held out).
 
 Defined results: a null text or one without a letter is ``und`` with score 0, as is every text when there is no labelled
-one to learn from; equal texts get equal predictions; an empty table gives no rows; other columns are not read.
+one to learn from; of labels with equal means the first in order of their names is predicted; equal texts get equal predictions; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import functools
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +25,10 @@ from dayloom.llm.byte_gru import WINDOW, ByteGru
 from dayloom.llm.sampling import smallest_marks_by
 
 SAMPLE = 6000
+MAX_LABELS = 500  # labels that are learned, the most frequent ones; bounds what the driver gathers
 STEPS = 260
 BATCH = 96
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _BLOCK = 1 << 20
 
 
@@ -37,11 +36,17 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5, F.lit(0)) == 0
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> ByteGru | None:
+def has_letter(text: str) -> bool:
+    """Whether a text holds a letter: a character of Unicode's categories L, as ``\\p{L}``; digits and number signs are none."""
+    return any(map(str.isalpha, text))
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS, max_labels: int = MAX_LABELS) -> ByteGru | None:
     """The network fitted to a bounded sample of ``docs(doc_id, text, lang)``; None without labelled rows."""
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out())
     labelled = labelled.where(F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    by_label = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_labels)
+    counts = {r["lang"]: r["n"] for r in by_label.collect()}
     mark = F.xxhash64("doc_id", F.lit("language"))
     place = 1 + F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - WINDOW, F.lit(1)))
     windows = labelled.select(F.substr("text", place.cast("int"), F.lit(WINDOW)).alias("w"), "lang", mark.alias("mark"))
@@ -62,7 +67,7 @@ def predict_texts(model: ByteGru | None, texts: list[str | None]) -> tuple[list[
     langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     if model is None:
         return langs, scores
-    known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+    known = [i for i, t in enumerate(texts) if t and has_letter(t)]
 
     def judge(rows: list[int], raw: list[bytes]) -> None:
         p = model.pooled(raw)
