@@ -28,19 +28,20 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dayloom.llm.fragments import PAIR, Closed, Fragment, NOTHING, Open, Tokens, fragment, group, joined, whole
+from dayloom.llm.fragments import NOTHING, PAIR, Closed, Fragment, Open, Tokens, fragment, group, joined
 from dayloom.llm.heads import head
 from dayloom.session import stored
 
 CHUNK = 1 << 16
 FAN = 16
 HOT = 1_000_000
-MAX_KEPT = 400_000  # parts
+MAX_KEPT = 500_000  # parts
 LONGEST_KEPT = 32  # characters
 CHARACTERS = 2_000_000  # that a task looks at together
 MAX_COUNTED = 4_000_000  # links
@@ -76,37 +77,86 @@ class Aligner:
         byte_of = _byte_of()
         with open(a, encoding="utf-8") as file:
             entries = json.load(file)["model"]["vocab"]
-        self._bytes_a = {i: bytes(map(byte_of.__getitem__, entry)) for entry, i in entries.items()}
+        self._bytes_a = [b""] * (max(entries.values()) + 1)
+        for entry, i in entries.items():
+            self._bytes_a[i] = bytes(map(byte_of.__getitem__, entry))
         pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
         self._bytes_b = [
             bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        self._sizes_a, self._sizes_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self._bytes_a, self._bytes_b))
+        # how a token is written where others of its group follow, and as the last of them
+        self._written = [f"{i}{end}".encode() for i in range(len(self._bytes_a)) for end in ",|"]
+        self._written += [f"{i}{end}".encode() for i in range(len(pieces)) for end in ",;"]
+        self._written_sizes = np.fromiter(map(len, self._written), np.int64, len(self._written))
         self.kept: dict[str, Part | None] = {}
 
+    def _encoded(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        encode = getattr(self._a, "encode_batch_fast", self._a.encode_batch)
+        of_a = [e.ids for e in encode([" " + p for p in parts], add_special_tokens=False)]
+        return of_a, self._b.encode(parts, num_threads=1) if parts else []
+
     def tokens(self, parts: list[str], starts: list[int]) -> Iterator[tuple[Tokens, Tokens] | None]:
         """The tokens of parts, with the space before them, that begin at the given bytes; None where bytes are lost."""
-        encode = getattr(self._a, "encode_batch_fast", self._a.encode_batch)
-        of_a = encode([" " + p for p in parts], add_special_tokens=False)
-        of_b = self._b.encode(parts, num_threads=1) if parts else []
-        for part, start, a, b in zip(parts, starts, of_a, of_b):
-            spelled_a, spelled_b = [self._bytes_a[i] for i in a.ids], [self._bytes_b[i] for i in b]
+        for part, start, a, b in zip(parts, starts, *self._encoded(parts)):
+            spelled_a, spelled_b = [self._bytes_a[i] for i in a], [self._bytes_b[i] for i in b]
             if b"".join(spelled_a) == b"".join(spelled_b) == (" " + part).encode():
-                yield _ended(a.ids, spelled_a, start), _ended(b, spelled_b, start)
+                yield _ended(a, spelled_a, start), _ended(b, spelled_b, start)
             else:
                 yield None
 
-    def learn(self, parts: set[str]) -> None:
-        """Align the parts that are not known yet. They are known until ``forget``."""
+    def learn(self, parts: set[str]) -> list[str]:
+        """Align the parts that are not known yet, and return them. They are known until ``forget``."""
         new = sorted(parts.difference(self.kept))
-        for part, found in zip(new, self.tokens(new, [0] * len(new))):
-            self.kept[part] = found and _packed(whole(fragment(*found)))
-
-    def forget(self, parts: set[str]) -> None:
-        if len(self.kept) > MAX_KEPT:
-            self.kept.clear()
-        for part in parts:
-            if len(part) > LONGEST_KEPT:
-                self.kept.pop(part, None)
+        if new:
+            of_a, of_b = self._encoded(new)
+            raw = [(" " + p).encode() for p in new]
+            spell_a, spell_b = self._bytes_a.__getitem__, self._bytes_b.__getitem__
+            whole = [
+                b"".join(map(spell_a, a)) == r == b"".join(map(spell_b, b)) for a, b, r in zip(of_a, of_b, raw)
+            ]
+            fine = [i for i, w in enumerate(whole) if w]
+            self.kept.update((p, None) for p, w in zip(new, whole) if not w)
+            if fine:
+                found = self._align([of_a[i] for i in fine], [of_b[i] for i in fine], [len(raw[i]) for i in fine])
+                self.kept.update(zip([new[i] for i in fine], found))
+        return new
+
+    def _align(self, of_a: list[list[int]], of_b: list[list[int]], sizes: list[int]) -> Iterator[Part]:
+        """The groups of parts, laid one behind the other so that all are cut at once.
+
+        Between two neighbouring ends of either sequence lies the overlap of just two tokens: a link.
+        """
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (of_a, of_b))
+        ends_a, ends_b = np.cumsum(self._sizes_a[a]), np.cumsum(self._sizes_b[b])
+        stops = np.cumsum(sizes)
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        every = np.union1d(ends_a, ends_b)
+        pairs = a[np.searchsorted(ends_a, every)] << PAIR | b[np.searchsorted(ends_b, every)]
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        # written in order of groups, in each of them first the tokens of a
+        order = np.empty(len(a) + len(b), np.int64)
+        at_a = np.arange(len(a)) + np.searchsorted(group_b, group_a)
+        at_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")
+        order[at_a] = 2 * a + (cuts[group_a] == ends_a)
+        order[at_b] = 2 * (len(self._bytes_a) + b) + (cuts[group_b] == ends_b)
+        body = b"".join(map(self._written.__getitem__, order.tolist()))
+        written = np.cumsum(self._written_sizes[order])
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (of_a, of_b))
+        last_written = written[np.cumsum(n_a + n_b) - 1].tolist()
+        last_link = np.searchsorted(every, stops, "right").tolist()
+        last_group = np.searchsorted(cuts, stops, "right").tolist()
+        packed = pairs.tobytes()
+        begin = link = group = 0
+        for i, (x, y) in enumerate(zip(n_a.tolist(), n_b.tolist())):
+            yield x, y, last_group[i] - group, last_link[i] - link, body[begin : last_written[i] - 1], packed[8 * link : 8 * last_link[i]]
+            begin, link, group = last_written[i], last_link[i], last_group[i]
+
+    def forget(self, new: list[str]) -> None:
+        full = len(self.kept) > MAX_KEPT
+        for part in new:
+            if full or len(part) > LONGEST_KEPT:
+                del self.kept[part]
 
 
 def _ended(ids: list[int], spelled: list[bytes], start: int) -> Tokens:
@@ -163,21 +213,21 @@ def ranges(text: str, chunk: int) -> Iterator[tuple[int, int, int, str]]:
 def range_fragment(found: Aligner, low: int, high: int, start: int, stretch: str) -> Fragment | None:
     """The fragment of the tokens that end behind ``low`` and not behind ``high``; None where a tokenizer loses bytes."""
     parts = _CUT.split(stretch[1:])
-    known = set(parts)
-    found.learn(known)
+    new = found.learn(set(parts))
     out = NOTHING
     for part in parts:
         end = start + 1 + len(part.encode())
         summary = found.kept[part]
         if summary is None:
-            return None
+            out = None
+            break
         if start >= low and end <= high and out.cut and not out.suffix.a and not out.suffix.b:
             out.closed.append(Closed(*summary[:5], np.frombuffer(summary[5], np.int64).tolist()))
         else:
             ((a, b),) = found.tokens([part], [start])
             out = joined(out, fragment([t for t in a if low < t[1] <= high], [t for t in b if low < t[1] <= high]))
         start = end
-    found.forget(known)
+    found.forget(new)
     return out
 
 
@@ -206,8 +256,7 @@ def _values(planes: bytes, kind: str) -> np.ndarray:
 
 def _aligned_rows(found: Aligner, rows: list[tuple], groups: bool) -> Iterator[tuple]:
     cut = [(row, keep, _CUT.split(text) if text else []) for row, keep, text in rows]
-    known = {p for _, _, parts in cut for p in parts}
-    found.learn(known)
+    new = found.learn({p for _, _, parts in cut for p in parts})
     for row, keep, parts in cut:
         got = [found.kept[p] for p in parts]
         if not got or None in got:
@@ -219,7 +268,7 @@ def _aligned_rows(found: Aligner, rows: list[tuple], groups: bool) -> Iterator[t
             row, keep, None, None, None, None, None, sum(n_a), sum(n_b), sum(n_groups), sum(n_links),
             hashlib.sha256(body).hexdigest(), *pack_links(np.frombuffer(b"".join(pairs), np.int64)), body if groups else None,
         )
-    found.forget(known)
+    found.forget(new)
 
 
 def _first_pass(a: str, b: str, chunk: int, groups: bool) -> Callable:

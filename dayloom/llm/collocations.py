@@ -40,7 +40,7 @@ SHARE = 100  # percent
 TOP = 2000
 BITS = 24
 PART = 1 << 16  # counters in a row of the table
-BLOCK = 2_000_000  # words that a task looks at together
+BLOCK = 1_000_000  # words that a task looks at together
 SALTS = 64
 _END = b"\xff"  # stands for the end of a piece; no byte of UTF-8
 _TABLE = bytes(
@@ -152,15 +152,29 @@ def opening_counters(texts: DataFrame, bits: int, min_count: int) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _grouped(block: _Block, windows: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One place of each distinct window, and how often it stands."""
-    _, first, which, n = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+def _counted(block: _Block, counters: np.ndarray, bits: int, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct windows of a block: language, words (0 for padding), and how often each stands."""
+    windows = np.zeros((len(block.words), ORDER), np.int32)
+    last = np.zeros(len(block.words), np.uint64)
+    longer = np.zeros(len(block.words), bool)
+    for k, places, hashes in block.openings(lambda h: counters[_places(h, bits)] >= min_count):
+        windows[places, k - 1] = block.words[places + (k - 1)]
+        if k > 1:
+            last[places], longer[places] = hashes, True
+    # windows of one word are counted by language and word, without hashes; ends of pieces open none
+    alone = (block.words != 0) & ~longer
+    codes = block.lang[alone].astype(np.int64) * len(block.spelled) + block.words[alone]
+    codes, n_alone = np.unique(codes, return_counts=True)
+    ones = np.zeros((len(codes), ORDER), np.int32)
+    ones[:, 0] = codes % len(block.spelled)
+    lang, windows, last = block.lang[longer], windows[longer], last[longer]
+    _, first, which, n = np.unique(last, return_index=True, return_inverse=True, return_counts=True)
     same = first[which]
-    if np.array_equal(windows, windows[same]) and np.array_equal(block.lang, block.lang[same]):
-        return first, n
-    rows = np.column_stack([block.lang, windows])  # two windows of one hash: compare the words
-    _, first, n = np.unique(rows, axis=0, return_index=True, return_counts=True)
-    return first, n
+    if not (np.array_equal(windows, windows[same]) and np.array_equal(lang, lang[same])):
+        rows = np.column_stack([lang, windows])  # two windows of one hash: compare the words
+        _, first, n = np.unique(rows, axis=0, return_index=True, return_counts=True)
+    langs = np.concatenate([(codes // len(block.spelled)).astype(np.int32), lang[first]])
+    return langs, np.concatenate([ones, windows[first]]), np.concatenate([n_alone, n])
 
 
 def longest_windows(texts: DataFrame, bits: int = BITS, min_count: int = MIN_COUNT) -> DataFrame:
@@ -170,20 +184,13 @@ def longest_windows(texts: DataFrame, bits: int = BITS, min_count: int = MIN_COU
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = sent.value
         for block in _blocks(batches):
-            windows = np.zeros((len(block.words), ORDER), np.int32)
-            last = np.zeros(len(block.words), np.uint64)
-            for k, places, hashes in block.openings(lambda h: counters[_places(h, bits)] >= min_count):
-                windows[places, k - 1] = block.words[places + (k - 1)]
-                last[places] = hashes
-            first, n = _grouped(block, windows, last)
-            opened = windows[first, 0] != 0  # ends of pieces open no window
-            first, n = first[opened], n[opened]
+            lang, windows, n = _counted(block, counters, bits, min_count)
             spelled = pa.array([b"", *block.spelled[1:]], pa.binary()).cast(pa.string())
-            langs = pa.array(block.langs, pa.string()).take(pa.array(block.lang[first]))
-            for at in range(0, len(first), 50_000):
+            langs = pa.array(block.langs, pa.string())
+            for at in range(0, len(n), 50_000):
                 some = slice(at, at + 50_000)
-                columns = [spelled.take(pa.array(windows[first[some], k])) for k in range(ORDER)]
-                arrays = [langs[some], *columns, pa.array(n[some], pa.int64())]
+                columns = [spelled.take(pa.array(windows[some, k])) for k in range(ORDER)]
+                arrays = [langs.take(pa.array(lang[some])), *columns, pa.array(n[some], pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, ["lang", *_WORDS, "n"])
 
     schema = ", ".join(f"{c} string" for c in ["lang", *_WORDS]) + ", n bigint"
