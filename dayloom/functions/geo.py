@@ -60,6 +60,82 @@ def st_geom_from_geojson(geometry: Column | str) -> Column:
     return _once(F.transform(texts, lambda polygon: F.transform(polygon, lambda ring: F.transform(ring, vertex))), checked)
 
 
+def _shifted(ring: Column, by: Column) -> Column:
+    return F.transform(ring, lambda v: F.struct((v["x"] + by).alias("x"), v["y"].alias("y")))
+
+
+def _turns(ring: Column) -> Column:
+    """Where a ring passes the 180th meridian: (vertex behind it, 1 going east or -1), by steps of more than 180 degrees."""
+    before = F.concat(F.slice(ring, 1, 1), F.slice(ring, 1, F.size(ring) - 1))
+    steps = F.zip_with(ring, before, lambda v, b: v["x"] - b["x"])
+    marked = F.transform(
+        steps,
+        lambda s, i: F.struct(i.alias("at"), F.when(s > 180 * MICRO, -1).when(s < -180 * MICRO, 1).otherwise(0).alias("turn")),
+    )
+    return F.filter(marked, lambda m: m["turn"] != 0)
+
+
+def _net_turn(ring: Column) -> Column:
+    """0 for a ring that comes back to where it began, the closing edge included; else it goes around a pole."""
+    closed = F.concat(ring, F.slice(ring, 1, 1))
+    return F.aggregate(_turns(closed), F.lit(0), lambda n, m: n + m["turn"])
+
+
+def _unrolled(ring: Column) -> Column:
+    """The ring with longitudes that go on beyond 180 degrees instead of jumping to the other side."""
+
+    def placed(turns: Column) -> Column:
+        def vertex(v: Column, i: Column) -> Column:
+            rounds = F.aggregate(turns, F.lit(0), lambda n, m: F.when(m["at"] <= i, n + m["turn"]).otherwise(n))
+            return F.struct((v["x"] + rounds * F.lit(360 * MICRO)).alias("x"), v["y"].alias("y"))
+
+        return F.transform(ring, vertex)
+
+    return _once(_turns(ring), placed)
+
+
+def on_the_globe(geom: Column) -> Column:
+    """Whether all longitudes lie within 180 degrees, so that a jump of more means the 180th meridian."""
+    return F.forall(F.flatten(F.flatten(geom)), lambda v: F.abs(v["x"]) <= 180 * MICRO)
+
+
+def goes_around_a_pole(geom: Column) -> Column:
+    return on_the_globe(geom) & F.exists(F.flatten(geom), lambda ring: _net_turn(ring) != 0)
+
+
+def across_meridian(geom: Column) -> Column:
+    """Polygons that cross the 180th meridian as two: on either side of the plane, the other one's part beyond its edge.
+
+    Rings are unrolled and holes moved to the side of their shell, then the polygon is repeated 360 degrees away. Vertices stay
+    whole micro-degrees, where cutting at the meridian would have to round. A point lies in one of the two if it lies
+    in the polygon, however its longitude is written; both are apart, as neither is wider than 360 degrees. Other polygons, and geometries with
+    longitudes beyond 180 degrees, stay as they are.
+    """
+    longitudes = lambda ring: F.transform(ring, lambda v: v["x"])
+
+    def beside(shell: Column, ring: Column) -> Column:
+        rounds = F.ceil((F.array_min(longitudes(shell)) - F.array_min(longitudes(ring))) / F.lit(360 * MICRO))
+        return _shifted(ring, rounds.cast("bigint") * F.lit(360 * MICRO))
+
+    def twice(rings: Column) -> Column:
+        east = F.array_max(longitudes(F.get(rings, F.lit(0)))) > 180 * MICRO
+        away = F.when(east, F.lit(-360 * MICRO)).otherwise(F.lit(360 * MICRO))
+        return F.array(rings, F.transform(rings, lambda ring: _shifted(ring, away)))
+
+    def moved(rings: Column) -> Column:
+        return F.transform(rings, lambda ring, i: F.when(i == 0, ring).otherwise(beside(F.get(rings, F.lit(0)), ring)))
+
+    def parts(polygon: Column) -> Column:
+        crosses = F.exists(polygon, lambda ring: F.size(_turns(ring)) > 0)
+        unrolled = F.transform(polygon, _unrolled)
+        return F.when(crosses, _once(_once(unrolled, moved), twice)).otherwise(F.array(polygon))
+
+    def whole(shape: Column) -> Column:
+        return F.when(on_the_globe(shape), F.flatten(F.transform(shape, parts))).otherwise(shape)
+
+    return _once(geom, whole)
+
+
 def edges_of(geom: Column) -> Column:
     """All edges of all rings. Each ring is closed by itself; edges never run from one ring to another."""
 

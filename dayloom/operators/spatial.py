@@ -222,6 +222,10 @@ def _inside(x: Column, y: Column, most_edges: int) -> Column:
     return F.when(F.col("n_edges") > _FEW_EDGES, F.aggregate("crowd", F.col("base"), step) == 1).otherwise(few)
 
 
+# Points of a cell that go to one task of a shuffle.
+GRAIN_ROWS = 1_000_000
+
+
 class Cells(NamedTuple):
     """Stored cells of a set of zones, measured once; any number of joins can use them."""
 
@@ -267,22 +271,45 @@ def _hashable(df: DataFrame) -> list[Column]:
     return [F.to_json(f"`{c}`") if "map<" in kind else F.col(f"`{c}`") for c, kind in df.dtypes]
 
 
+def crowded_cells(placed: DataFrame, grain_rows: int) -> DataFrame:
+    """(cell, grains) of the cells of ``placed(cell)`` with more than ``grain_rows`` points: how many keys share each.
+
+    From a histogram of the points over the cells, combined per task before it is shuffled. At most the number of points (and
+    levels) / ``grain_rows`` cells have a row, so ``grain_rows`` bounds what is broadcast.
+    """
+    counts = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("points"))
+    return counts.where(F.col("points") > grain_rows).select("cell", F.ceil(F.col("points") / grain_rows).cast("int").alias("grains"))
+
+
+def _shuffled(placed: DataFrame, table: DataFrame, grain_rows: int) -> DataFrame:
+    """Points and cells joined by one shuffle on cell and grain; only crowded cells have more than one grain.
+
+    The cells' rows are copied once per grain of their cell, the others not at all. ``placed`` has a hash ``_hash`` of the
+    whole point, which deals the points of a cell out over its grains.
+    """
+    few = F.broadcast(stored(crowded_cells(placed.select("cell"), grain_rows)))
+    grains = F.coalesce(F.col("grains"), F.lit(1))
+    points = placed.join(few, "cell", "left").withColumn("_grain", F.pmod("_hash", grains).cast("int")).drop("grains", "_hash")
+    spread = F.explode(F.sequence(F.lit(0), grains - 1))
+    cells = table.join(few, "cell", "left").withColumn("_grain", spread).drop("grains")
+    return points.join(cells, ["cell", "_grain"])
+
+
 def spatial_within_join(
     points: DataFrame,
     zones: DataFrame | Cells,
     lon: str = "LONGITUDE",
     lat: str = "LATITUDE",
     max_bytes: int = BROADCAST_BYTES,
-    salt: int = 16,
+    grain_rows: int = GRAIN_ROWS,
 ) -> DataFrame:
     """Every point with the ``zip`` of every zone it lies strictly within; points may be in several or none.
 
     ``zones`` is a zone table or its ``measured_cells``. Points may have columns of any name but ``zip``; those whose
     coordinates do not read as decimal(10,6) match nothing, and those outside of the box of all zones are dropped
     before they are looked up. The cell tables of as many levels as fit ``max_bytes`` are broadcast, and the points
-    then stay where they are. All larger levels are joined by one scan and one shuffle of the points on cell and
-    grain: each cell is split into ``salt`` keys, so that a crowded place is shared by several tasks before adaptive
-    execution splits it further.
+    then stay where they are. All larger levels are joined by one shuffle of the points on cell and grain: a cell of more than
+    ``grain_rows`` points, by a histogram over all of them, is shared by as many keys as it has times that.
     """
     if "zip" in points.columns:
         raise ValueError("the points have a column zip, which is the name of the zone that the join adds")
@@ -292,8 +319,8 @@ def spatial_within_join(
         return points.where(F.lit(False)).withColumn("zip", F.lit(None).cast("string"))
     # a point is one column, so no column of its can meet one of the cells
     point = F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("_point")
-    grain = F.pmod(F.xxhash64(*_hashable(points)), F.lit(salt)).alias("_grain")
-    placed = points.select(point, micro(lon).alias("_x"), micro(lat).alias("_y"), *([grain] if large else []))
+    whole = F.xxhash64(*_hashable(points)).alias("_hash")
+    placed = points.select(point, micro(lon).alias("_x"), micro(lat).alias("_y"), *([whole] if large else []))
     left, right, low, high = cells.box
     placed = placed.where(F.col("_x").between(left, right) & F.col("_y").between(low, high))
 
@@ -301,11 +328,10 @@ def spatial_within_join(
     parts = []
     if small:
         side = F.broadcast(table.where(F.col("level").isin(small)).drop("level"))
-        parts.append(_with_cells(placed, small).join(side, "cell"))
+        parts.append(_with_cells(placed.drop("_hash"), small).join(side, "cell"))
     if large:
-        every_grain = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))).alias("_grain")
-        side = table.where(F.col("level").isin(large)).drop("level").select("*", every_grain)
-        parts.append(_with_cells(placed, large).join(side, ["cell", "_grain"]))
+        side = table.where(F.col("level").isin(large)).drop("level")
+        parts.append(_shuffled(_with_cells(placed, large), side, grain_rows))
     inside = _inside(F.col("_x"), F.col("_y"), cells.most_edges)
     return union_all([part.where(inside).select("_point.*", "zip") for part in parts])
 

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dayloom.functions.dates import date_add_str as add_days, hour_of_day, is_weekday as on_weekday, iso_dow
 from dayloom.operators.grid import fill_24_7 as fill_grid, slots_per_user, weekly_counts
+from dayloom.operators.grid_store import add_grid_days, stored_grid
 from dayloom.operators.joins import join_right_outer as right_outer
 from dayloom.plans.inputs import AS_OF, dated_events
 from dayloom.plans.registry import query
-from dayloom.session import read_given
+from dayloom.session import read_given, scratch_folder
 from dayloom.sources.tables import lookback_days as days_before, weekly_slots
 
 _GRID_SQL = "(SELECT unnest(range(1, 8)) AS dow) CROSS JOIN (SELECT unnest(range(0, 24)) AS hr)"
@@ -93,3 +94,18 @@ def lookback_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_day = events.groupBy("data_date").agg(F.count("*").alias("n"))
     # at most seven rows on either side
     return days_before(spark, AS_OF, 7).join(F.broadcast(per_day), "data_date", "left").na.fill(0, ["n"])
+
+
+@query(f"""
+    SELECT uid, dow, hr, n
+    FROM (SELECT DISTINCT user_id AS uid FROM events) CROSS JOIN {_GRID_SQL}
+    LEFT JOIN (SELECT user_id AS uid, isodow(ts) AS dow, hour(ts) AS hr, count(*) AS n FROM events GROUP BY ALL)
+    USING (uid, dow, hr)""")
+def fill_24_7_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid from states by day: all days but the last three, then those one by one, and one of them again."""
+    root, events = scratch_folder(spark), dated_events(spark, sf_dir)
+    add_grid_days(events.where("data_date <= DATE '2024-01-27'"), root, "user_id", "ts")
+    for day in ("2024-01-28", "2024-01-29", "2024-01-30", "2024-01-28"):
+        add_grid_days(events.where(f"data_date = DATE '{day}'"), root, "user_id", "ts")
+    add_grid_days(events.where("data_date > DATE '2024-01-30'"), root, "user_id", "ts")
+    return stored_grid(spark, root)

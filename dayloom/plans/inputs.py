@@ -108,11 +108,17 @@ def degrees(micro: str) -> str:
     return f"CAST(CAST(({micro}) * 0.000001 AS DECIMAL(10,6)) AS VARCHAR)"
 
 
-def _coordinates(shape: list, quote: str) -> str:
+def rolled(x: str) -> str:
+    """Micro-degrees beyond the 180th meridian as longitudes of the other side."""
+    return f"(CASE WHEN {x} > 180000000 THEN {x} - 360000000 ELSE {x} END)"
+
+
+def _coordinates(shape: list, quote: str, roll: bool) -> str:
     """SQL for the JSON text of a shape's coordinates; ``quote`` stands around every number of even zones."""
 
     def number(origin: str, offset: int) -> str:
-        text = degrees(f"{origin} + unit * {offset}")
+        value = f"{origin} + unit * {offset}"
+        text = degrees(rolled(f"({value})") if roll and origin == "zx" else value)
         plain = f"CAST(CAST({text} AS DOUBLE) AS VARCHAR)"
         return f"CASE WHEN s_suppkey % 2 = 0 THEN '{quote}' || {text} || '{quote}' ELSE {plain} END"
 
@@ -126,10 +132,10 @@ def _coordinates(shape: list, quote: str) -> str:
     return rings[0] if len(shape) == 1 else listed(rings)
 
 
-def geometry_sql(quote: str) -> str:
+def geometry_sql(quote: str, roll: bool = False) -> str:
     cases = " ".join(
         f"""WHEN {i} THEN '{{"type":"{'Polygon' if len(shape) == 1 else 'MultiPolygon'}","coordinates":'"""
-        f" || {_coordinates(shape, quote)} || '}}'"
+        f" || {_coordinates(shape, quote, roll)} || '}}'"
         for i, shape in enumerate(SHAPES)
     )
     return f"CASE shape {cases} END"
@@ -184,6 +190,11 @@ def place(home: str, a: str, b: str) -> tuple[str, str]:
     )
 
 
+# the same around the 180th meridian, where zones lie one above the other
+MERIDIAN_ZONE_X, MERIDIAN_ZONE_Y = "(180000000 - 4 * unit)", "(-80000000 + (s_suppkey * 9000) % 160000000)"
+MERIDIAN_X = f"(179996000 + {_jitter('l_orderkey', 'l_linenumber', 7919, 104729)})"
+MERIDIAN_Y = f"(-80000000 + (l_suppkey * 9000) % 160000000 + {_jitter('l_orderkey', 'l_linenumber', 104723, 7907)})"
+
 ITEM_X, ITEM_Y = place("l_suppkey", "l_orderkey", "l_linenumber")
 EVENT_X, EVENT_Y = place("user_id", "event_id", "user_id")
 

@@ -7,9 +7,12 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dayloom.operators.export import dated_export
+from dayloom.operators.export_checks import export_and_verify, export_days_checked
 from dayloom.operators.gates import (
     day_row_gate as rows_complete, partition_inventory as inventory, partition_size_gate as sizes_complete,
 )
+from dayloom.operators.history import append_new, history_days, read_history, write_history
+from dayloom.operators.ledger import day_ledger as ledger, ledger_gate, note_days, rebuild_ledger
 from dayloom.operators.lookback import lookback_union as lookback
 from dayloom.operators.gates import BY_DIRECTORY, path_day
 from dayloom.operators.partitions import (
@@ -24,7 +27,7 @@ from dayloom.plans.inputs import (
 from dayloom.plans.jobs import daily_backfill, export_and_check
 from dayloom.plans.registry import query
 from dayloom.session import read_given, scratch_folder
-from dayloom.sources.paths import delete
+from dayloom.sources.paths import delete, drop_folders
 from dayloom.sources.tables import lookback_days
 
 _EVENT_COLUMNS = "event_id, ts, user_id, event_type, value, props"
@@ -87,6 +90,58 @@ def export_needs_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export_and_check(spark, events_by_day(spark, sf_dir), days, folder, "events")
 
 
+@query("""
+    SELECT data_date, coalesce(n, 0) AS n_rows, CASE WHEN n IS NULL THEN 'missing' WHEN n < 5 THEN 'short' END AS fault
+    FROM (SELECT CAST(unnest(range(DATE '2024-01-25', DATE '2024-02-02', INTERVAL 1 DAY)) AS DATE) AS data_date)
+    LEFT JOIN (SELECT CAST(ts AS DATE) AS data_date, count(*) AS n FROM events GROUP BY 1) USING (data_date)""")
+def export_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports checked part by part: some are there, one of them was never committed, two days have no rows."""
+    days, folder = [AS_OF + timedelta(days=i) for i in range(-5, 3)], scratch_folder(spark)
+    rows = spark.table(events_by_day(spark, sf_dir))
+    export_days_checked(rows.where(F.col("data_date").isin(days[:3])), folder, "events")
+    delete(spark, f"{folder}/events_{days[1]}.csv/_SUCCESS")
+    return export_and_verify(spark, rows, days, folder, "events").na.fill(0, ["n_rows"])
+
+
+@query("""
+    SELECT min(event_id) AS event_id, user_id, event_type,
+           CAST(min_by(ts, event_id) AS DATE) AS data_date
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY CAST(ts AS DATE), event_id) AS place FROM events)
+    WHERE place = 1 GROUP BY user_id, event_type""")
+def dedup_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first event of each user and type, day by day against the days before; the last five days are appended one by one."""
+    root, keys = scratch_folder(spark), ["user_id", "event_type"]
+    events = dated_events(spark, sf_dir).select("event_id", "user_id", "event_type", "data_date")
+    old = events.where("data_date < DATE '2024-01-26'")
+    day_and_id = F.struct("data_date", "event_id")
+    first = old.groupBy(*keys).agg(F.min(day_and_id).alias("f")).select("f.event_id", *keys, "f.data_date")
+    write_history(first, root, keys)
+    append_new(events.where("data_date >= DATE '2024-01-26'"), root, keys, "event_id")
+    return read_history(spark, root, history_days(spark, root)).select("event_id", *keys, "data_date")
+
+
+@query(f"""
+    SELECT data_date, count(*) AS n_rows, count(*) >= 20 AS complete FROM ({DAILY_ACTIVITY_SQL})
+    WHERE data_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-30' AND data_date NOT IN (DATE '2024-01-09', DATE '2024-01-11')
+    GROUP BY 1""")
+def day_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of a dataset by day after a write, a replacement, a backfill and drops, each noted when it was done."""
+    root, source = scratch_folder(spark), dated_events(spark, sf_dir)
+    activity = daily_activity(source)
+    days = [date(2024, 1, d) for d in range(1, 31)]
+    replace_folders(activity.where("data_date < DATE '2024-01-25'"), root)
+    rebuild_ledger(spark, root)
+    one = activity.where(F.col("data_date") == F.lit(days[7]))
+    note_days(spark, root, replace_folders(one.limit(1), root))
+    note_days(spark, root, replace_folders(one, root))
+    note_days(spark, root, backfill_missing_folders(root, source, daily_activity, date(2024, 1, 31), n_lookback=10, min_bytes=0))
+    gone = [*days[:4], days[8], days[10]]
+    drop_folders(spark, root, BY_DIRECTORY, gone)
+    note_days(spark, root, gone)
+    gate = ledger_gate(spark, root, min_bytes=0, min_rows=20)
+    return ledger(spark, root).join(gate, "data_date").select("data_date", "n_rows", "complete")
+
+
 @query(f"SELECT * FROM ({DAILY_ACTIVITY_SQL}) WHERE data_date <> DATE '2024-01-10'")
 def drop_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = activity_table(spark, daily_activity(dated_events(spark, sf_dir)))

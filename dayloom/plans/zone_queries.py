@@ -8,10 +8,12 @@ from dayloom.functions.geo import edges_of, st_geom_from_geojson as geom_from_ge
 from dayloom.functions.text import clean_geometry, feature, feature_zip
 from dayloom.operators.spatial import spatial_first_per_zone as first_per_zone, spatial_within_join as within_join
 from dayloom.plans.inputs import (
-    EVENT_POINT_CTE, ITEM_POINT_CTE, ITEM_X, ITEM_Y, SHAPES, ZONE_CTE, degrees, event_points, feature_file, geometry_sql,
-    hit_cte, item_points, lattice_x, spark_expr, zone_frame,
+    EVENT_POINT_CTE, ITEM_POINT_CTE, ITEM_X, ITEM_Y, MERIDIAN_X, MERIDIAN_Y, MERIDIAN_ZONE_X, MERIDIAN_ZONE_Y, SHAPES,
+    ZONE_CTE, degrees, event_points, feature_file, geometry_sql, hit_cte, item_points, lattice_x, lattice_y, rolled,
+    spark_expr, zone_frame,
 )
 from dayloom.operators.slots import read_slots
+from dayloom.operators.zone_checks import zone_faults as faults_of
 from dayloom.plans.jobs import zone_assignment as assign_zones
 from dayloom.plans.registry import query
 from dayloom.session import read_given, scratch_folder
@@ -146,3 +148,66 @@ def spatial_far_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     found = within_join(points, zones).where("cell = 'mine'")
     return found.select("l_orderkey", "l_linenumber", F.col("zip").alias("cell"), F.col("base").cast("bigint").alias("base"))
+
+
+_MERIDIAN_CTE = (
+    hit_cte(ITEM_POINT_CTE.replace(ITEM_X, MERIDIAN_X).replace(ITEM_Y, MERIDIAN_Y))
+    .replace(f"{lattice_x('s_suppkey')} AS zx", f"{MERIDIAN_ZONE_X} AS zx")
+    .replace(f"{lattice_y('s_suppkey')} AS zy", f"{MERIDIAN_ZONE_Y} AS zy")
+)
+
+
+@query(f"""
+    WITH {_MERIDIAN_CTE}
+    SELECT l_orderkey, l_linenumber, zip, CASE WHEN x > 180000000 THEN 'west' ELSE 'east' END AS side
+    FROM hit JOIN point USING (point_id, x)""")
+def spatial_across_meridian(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones that reach from 179.9 to -179.9 degrees, and points on both sides; the SQL counts longitudes on beyond 180."""
+    placed = zone_frame(spark, sf_dir).withColumns({"zx": spark_expr(MERIDIAN_ZONE_X), "zy": spark_expr(MERIDIAN_ZONE_Y)})
+    zones = zone_table(placed.select("zip", spark_expr(geometry_sql("", roll=True)).alias("geometry")))
+    points = read_given(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", spark_expr(degrees(rolled(MERIDIAN_X))).alias("LONGITUDE"),
+        spark_expr(degrees(MERIDIAN_Y)).alias("LATITUDE"),
+    )
+    side = F.when(F.col("LONGITUDE").cast("double") < 0, "west").otherwise("east").alias("side")
+    return within_join(points, zones).select("l_orderkey", "l_linenumber", "zip", side)
+
+
+# shapes by number of the supplier: two sound ones, then one for each fault
+_CHECKED = [
+    ([[[(0, 0), (8, 0), (8, 4), (4, 4), (4, 8), (0, 8), (0, 0)]]], None),
+    ([[[(0, 0), (8, 0), (8, 8), (0, 8), (0, 0)], [(2, 2), (6, 6), (2, 6), (0, 4), (2, 2)]]], None),
+    ([[[(0, 0), (8, 8), (8, 0), (0, 8), (0, 0)]]], "polygon 0 ring 0 crosses or touches itself"),
+    ([[[(0, 0), (8, 0), (8, 8), (0, 8), (0, 0)], [(9, 1), (12, 1), (12, 4), (9, 1)]]], "polygon 0 ring 1 is not inside its shell"),
+    ([[[(0, 0), (8, 0), (8, 8), (0, 8), (0, 0)], [(2, 2), (10, 2), (10, 4), (2, 4), (2, 2)]]], "polygon 0 rings 0 and 1 cross"),
+    ([[[(0, 0), (8, 0), (8, 8), (0, 0)]], [[(5, 1), (7, 1), (7, 2), (5, 1)]]], "polygon 1 lies inside polygon 0"),
+    ([[[(0, 0), (8, 0), (0, 0)]]], "polygon 0 ring 0 encloses no area"),
+    ([[[(0, 0), (4, 0), (4, 4), (0, 0)]], [[(2, -1), (8, -1), (3, 3), (2, -1)]]], "polygons 0 and 1 cross"),
+    ([[[(0, 0), (8, 0), (8, 8), (0, 8), (0, 0)], [(1, 1), (7, 1), (7, 7), (1, 1)], [(5, 2), (6, 2), (6, 3), (5, 2)]]],
+     "polygon 0 ring 2 lies inside ring 1"),
+]
+
+
+def _checked_geometry() -> str:
+    cases = []
+    for i, (shape, _) in enumerate(_CHECKED):
+        rings = ", ".join(
+            "[" + ", ".join(
+                "[" + ", ".join(f"[x{x:+}d, y{y:+}d]" for x, y in ring) + "]" for ring in polygon
+            ) + "]" for polygon in shape
+        )
+        cases.append(f"WHEN {i} THEN '[{rings}]'")
+    return f"CASE s_suppkey % {len(_CHECKED)} {' '.join(cases)} END"
+
+
+@query(f"""
+    WITH {ZONE_CTE}, wrong(kind, reason) AS (VALUES {", ".join(f"({i}, '{r}')" for i, (_, r) in enumerate(_CHECKED) if r)})
+    SELECT zip, reason FROM zone JOIN wrong ON s_suppkey % {len(_CHECKED)} = kind""")
+def zone_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with zones of sound and unsound shapes, each at its place in the lattice."""
+    text = F.expr(_checked_geometry())
+    for axis, origin in (("x", "zx"), ("y", "zy")):
+        for offset in sorted({p[axis == "y"] for shape, _ in _CHECKED for polygon in shape for ring in polygon for p in ring}):
+            text = F.replace(text, F.lit(f"{axis}{offset:+}d"), spark_expr(degrees(f"{origin} + unit * ({offset})")))
+    geometry = F.concat(F.lit('{"type":"MultiPolygon","coordinates":'), text, F.lit("}"))
+    return faults_of(zone_frame(spark, sf_dir).select("zip", geometry.alias("geometry")))
