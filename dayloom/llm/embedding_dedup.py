@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dayloom.llm.components import components
 from dayloom.llm.sampling import smallest_marks
@@ -195,7 +195,15 @@ def _links(nodes: DataFrame, dim: int, least: float, tile: int) -> DataFrame:
     return dealt.groupBy("task").applyInArrow(compare, "a bigint, b bigint, links bigint")
 
 
-def near_duplicates(vectors: DataFrame, least: float = LEAST, tile: int = TILE) -> DataFrame:
+def _named(bits: int, clashes: list[list[int]]) -> Column:
+    """The key of a vector: ``bits`` of a hash; one that several vectors had is replaced by another hash, round by round."""
+    key = F.xxhash64("embedding") if bits == 64 else F.xxhash64("embedding").bitwiseAND(F.lit((1 << bits) - 1))
+    for i, clashing in enumerate(clashes):
+        key = F.when(key.isin(*clashing), F.xxhash64(F.lit(i), "embedding")).otherwise(key)
+    return key
+
+
+def near_duplicates(vectors: DataFrame, least: float = LEAST, tile: int = TILE, key_bits: int = 64) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors(vec_id, embedding)``."""
     rows = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
@@ -205,16 +213,22 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, tile: int = TILE)
         "forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))"
     )
     valid = F.coalesce(sound, F.lit(False))
-    keyed = rows.withColumn("node", F.when(valid, F.xxhash64("embedding")))
-    nodes = stored(
-        keyed.where("node IS NOT NULL").groupBy("node").agg(
-            F.count("*").alias("copies"), F.min("vec_id").alias("vec_id"), F.first("embedding").alias("embedding"),
-            F.countDistinct(F.hash("embedding")).alias("kinds"),
-        )
-    )
-    shape = nodes.agg(F.max("kinds").alias("kinds"), F.collect_set(F.size("embedding")).alias("dims")).first()
-    if (shape["kinds"] or 0) > 1:
-        raise ValueError("two different vectors have one hash")
+    second = F.xxhash64(F.lit("second"), "embedding")
+    clashes: list[list[int]] = []
+    # keys that several vectors have are few (none below about 10^9 vectors); these get others until all differ
+    while True:
+        keyed = rows.withColumn("node", F.when(valid, _named(key_bits, clashes)))
+        nodes = stored(
+            keyed.where("node IS NOT NULL").groupBy("node").agg(
+                F.count("*").alias("copies"), F.min("vec_id").alias("vec_id"), F.first("embedding").alias("embedding"),
+                (F.min(second) != F.max(second)).alias("several"),
+            )
+        )
+        clashing = [r["node"] for r in nodes.where("several").select("node").collect()]
+        if not clashing:
+            break
+        clashes.append(clashing)
+    shape = nodes.agg(F.collect_set(F.size("embedding")).alias("dims")).first()
     parts = [_links(nodes, dim, least, tile) for dim in sorted(shape["dims"])]
     if not parts:
         parts = [nodes.selectExpr("node AS a", "node AS b", "node AS links").where("false")]

@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -94,16 +95,45 @@ def _signature(tokens: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _keys(tokens: np.ndarray) -> tuple[int, int]:
-    """Two independent hashes of a set."""
-    both = tokens.sum(dtype=np.uint64), mixed(tokens + np.uint64(1)).sum(dtype=np.uint64)
-    return tuple(np.array(both, np.uint64).view(np.int64).tolist())
+class Naming(NamedTuple):
+    """How sets are named: by ``bits`` of a hash; where two sets have one name, by that and a second hash.
+
+    ``clashes`` are the names that several sets had, round by round. Both hashes together have 128 bits.
+    """
+
+    bits: int = 64
+    clashes: tuple[frozenset[int], ...] = ()
+
+    def keys(self, tokens: np.ndarray) -> tuple[int, int]:
+        """The name of a set and its second hash."""
+        both = tokens.sum(dtype=np.uint64), mixed(tokens + np.uint64(1)).sum(dtype=np.uint64)
+        name, check = np.array(both, np.uint64).view(np.int64).tolist()
+        if self.bits < 64:
+            name &= (1 << self.bits) - 1
+        for i, clashing in enumerate(self.clashes):
+            if name in clashing:
+                name ^= _turned(check, i + 1)
+        return name, check
+
+    def renamed(self, name: Column, check: Column) -> Column:
+        """The same for the columns of the first names and second hashes."""
+        for i, clashing in enumerate(self.clashes):
+            turned = F.shiftleft(check, i + 1).bitwiseOR(F.shiftrightunsigned(check, 63 - i))
+            name = F.when(name.isin(*clashing), name.bitwiseXOR(turned)).otherwise(name)
+        return name
+
+
+def _turned(value: int, by: int) -> int:
+    """The 64 bits of a long turned left, as a signed long."""
+    bits = value & ((1 << 64) - 1)
+    bits = (bits << by | bits >> (64 - by)) & ((1 << 64) - 1)
+    return bits - (1 << 64) if bits >> 63 else bits
 
 
 _SET_SCHEMA = "doc_id bigint, text_id bigint, set_id bigint, check_id bigint, n bigint, signature binary, token bigint, times bigint"
 
 
-def shingle_sets(docs: DataFrame, seed: int) -> DataFrame:
+def shingle_sets(docs: DataFrame, seed: int, naming: Naming = Naming()) -> DataFrame:
     """A row per document, and rows (token, times) of repeated shingles with a null ``n``."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +144,7 @@ def shingle_sets(docs: DataFrame, seed: int) -> DataFrame:
             out = []
             for tokens in shingler.sets(_texts(batch.column(1))):
                 counter.add(tokens)
-                out.append((*_keys(tokens), len(tokens), _signature(tokens)))
+                out.append((*naming.keys(tokens), len(tokens), _signature(tokens)))
             made = [pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 4, kinds[2:])]
             none = pa.nulls(len(out), pa.int64())
             yield pa.record_batch([batch.column(0), batch.column(2), *made, none, none], names=names)
@@ -143,7 +173,7 @@ def common_tokens(sets: DataFrame) -> np.ndarray:
     return np.array(found[::-1], np.int64).view(np.uint64)
 
 
-def prefix_tokens(docs: DataFrame, seed: int, common: np.ndarray) -> DataFrame:
+def prefix_tokens(docs: DataFrame, seed: int, common: np.ndarray, naming: Naming = Naming()) -> DataFrame:
     """(token, set_id): the first tokens of each set in the global order, once per set and task."""
     by_hash = np.argsort(common)
     sent = docs.sparkSession.sparkContext.broadcast((common[by_hash], by_hash))
@@ -156,7 +186,7 @@ def prefix_tokens(docs: DataFrame, seed: int, common: np.ndarray) -> DataFrame:
             found, owners, lengths = [], [], []
             for tokens in shingler.sets(_texts(batch.column(1))):
                 n = len(tokens)
-                owner = _keys(tokens)[0]
+                owner = naming.keys(tokens)[0]
                 if not n or owner in done:
                     continue
                 if len(done) > 1 << 17:
@@ -262,9 +292,9 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_id"))
 
 
-def similar_groups(docs: DataFrame, seed: int = 0) -> DataFrame:
+def similar_groups(docs: DataFrame, seed: int = 0, key_bits: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs(doc_id, text)``."""
-    return _grouped(_rows(docs), seed).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return _grouped(_rows(docs), seed, key_bits).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_per_group(docs: DataFrame, seed: int = 0) -> DataFrame:
@@ -290,21 +320,26 @@ def one_per_group(docs: DataFrame, seed: int = 0) -> DataFrame:
     return stay.union(twice.dropDuplicates(["id", "text_id"])).select("row.*")
 
 
-def _grouped(rows: DataFrame, seed: int) -> DataFrame:
+def _grouped(rows: DataFrame, seed: int, key_bits: int = 64) -> DataFrame:
     """(doc_id, text_id, n, root, component_id) of ``rows(doc_id, text, text_id)``; a null root where n is 0."""
-    sets = stored(shingle_sets(rows, seed))
-    documents = sets.where("n IS NOT NULL").select(
-        "doc_id", "text_id", "set_id", "check_id", "n", "signature"
-    )
-    nodes = stored(
-        documents.where("n > 0").groupBy("set_id").agg(
-            F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "text_id")).alias("row"), F.first("n").alias("n"), F.first("signature").alias("signature"),
-            (F.min("check_id") == F.max("check_id")).alias("one"),
-        ).withColumn("s", F.expr(_lanes("signature"))).drop("signature")
-    )
-    if nodes.where("NOT one").limit(1).count():
-        raise ValueError("two different sets have one key: choose another seed")
-    matrix = stored(postings(prefix_tokens(rows, seed, common_tokens(sets))))
+    naming = Naming(key_bits)
+    sets = stored(shingle_sets(rows, seed, naming))
+    # names that several sets have are few (none below about 10^9 sets); those sets are named anew until all differ
+    while True:
+        documents = sets.where("n IS NOT NULL").select(
+            "doc_id", "text_id", naming.renamed(F.col("set_id"), F.col("check_id")).alias("set_id"), "check_id", "n", "signature"
+        )
+        nodes = stored(
+            documents.where("n > 0").groupBy("set_id").agg(
+                F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "text_id")).alias("row"), F.first("n").alias("n"), F.first("signature").alias("signature"),
+                (F.min("check_id") == F.max("check_id")).alias("one"),
+            ).withColumn("s", F.expr(_lanes("signature"))).drop("signature")
+        )
+        clashing = frozenset(r["set_id"] for r in nodes.where("NOT one").select("set_id").collect())
+        if not clashing:
+            break
+        naming = naming._replace(clashes=(*naming.clashes, clashing))
+    matrix = stored(postings(prefix_tokens(rows, seed, common_tokens(sets), naming)))
     a = nodes.select(F.col("set_id").alias("a"), F.col("n").alias("a_n"), F.col("s").alias("a_s"))
     b = nodes.select(F.col("set_id").alias("b"), F.col("n").alias("b_n"), F.col("s").alias("b_s"))
 
