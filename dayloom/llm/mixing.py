@@ -26,8 +26,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dayloom.session import stored
 
-BUCKET_DIGITS = 3
+BUCKET_DIGITS = 3  # of the key, that tell rows of a bucket apart; a bucket with more than MOST_ROWS is opened by as many more
+MOST_ROWS = 10_000
 LEVELS = ["domain", "lang", "source"]
+_KEY_DIGITS = 32
 _BLANKS = r"[\x20\x09-\x0D]+"
 
 
@@ -107,6 +109,19 @@ def _with_plan(rows: DataFrame, leaves: DataFrame) -> DataFrame:
     return rows.join(renamed, same).drop(*[f"_{k}" for k in LEVELS])
 
 
+def _cut_buckets(keyed: DataFrame, cut_in: DataFrame, digits: int) -> DataFrame:
+    """Of each leaf's bucket in ``cut_in`` the one of ``digits`` digits within it where the tokens taken reach ``rest``."""
+    rows = _with_plan(keyed, cut_in.select(*LEVELS, "rest", "before", "cut_bucket"))
+    rows = rows.where(F.col("key").startswith(F.col("cut_bucket"))).withColumn("bucket", F.substring("key", 1, digits))
+    buckets = rows.groupBy(*LEVELS, "rest", "before", "bucket").agg(
+        F.sum("n_tokens").alias("n"), F.approx_count_distinct("key").alias("rows")
+    )
+    so_far = Window.partitionBy(*LEVELS).orderBy("bucket")
+    buckets = buckets.withColumn("upto", F.col("before") + F.sum("n").over(so_far))
+    cut = buckets.where("upto >= rest AND upto - n < rest")
+    return cut.select(*LEVELS, "rest", (F.col("upto") - F.col("n")).alias("before"), F.col("bucket").alias("cut_bucket"), "rows")
+
+
 def leaf_plans(sizes: DataFrame, plan: Plan) -> DataFrame:
     """Per leaf: ``epochs`` taken whole, and key and tokens of the document at which the next one is cut.
 
@@ -118,14 +133,14 @@ def leaf_plans(sizes: DataFrame, plan: Plan) -> DataFrame:
     leaves = stored(leaves.withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens")))
     open_ = leaves.where("rest > 0").select(*LEVELS, "epochs", "rest")
     keyed = _with_plan(sizes, open_).withColumn("key", _key(plan.seed, F.col("epochs") + 1))
-    keyed = keyed.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
-    buckets = keyed.groupBy(*LEVELS, "rest", "bucket").agg(F.sum("n_tokens").alias("n"))
-    so_far = Window.partitionBy(*LEVELS).orderBy("bucket")
-    buckets = buckets.withColumn("upto", F.sum("n").over(so_far))
-    cut_in = buckets.where("upto >= rest AND upto - n < rest").select(
-        *LEVELS, (F.col("upto") - F.col("n")).alias("before"), F.col("bucket").alias("cut_bucket")
-    )
-    inside = _with_plan(keyed, cut_in).where("bucket = cut_bucket")
+    # the bucket in which each leaf is cut, by the first digits of the key: 4,096 sums per leaf and round
+    cut_in = open_.select(*LEVELS, "rest", F.lit(0).cast("bigint").alias("before"), F.lit("").alias("cut_bucket"))
+    digits, most = 0, MOST_ROWS + 1
+    while most > MOST_ROWS and digits < _KEY_DIGITS:
+        digits += BUCKET_DIGITS
+        cut_in = stored(_cut_buckets(keyed.drop("rest"), cut_in, digits).select(*LEVELS, "rest", "before", "cut_bucket", "rows"))
+        most = cut_in.agg(F.max("rows")).first()[0] or 0
+    inside = _with_plan(keyed.drop("rest"), cut_in.drop("rows")).where(F.substring("key", 1, digits) == F.col("cut_bucket"))
     same_key = inside.groupBy(*LEVELS, "rest", "before", "key").agg(
         F.sum("n_tokens").alias("n"), F.count("*").alias("copies")
     )
@@ -158,11 +173,15 @@ def mixture(docs: DataFrame, domain: Column, plan: Plan, carry: list[str]) -> Da
 
 
 def mixed_documents(docs: DataFrame, domain: Column, plan: Plan) -> DataFrame:
-    """The mixture as rows of ``docs``; the text of a document that is cut is its words taken, joined by spaces."""
+    """The mixture as rows of ``docs``; the text of a document that is cut ends with the last word taken, else as it was."""
     chosen = mixture(docs, domain, plan, docs.columns)
-    words = F.filter(F.split(F.col("row.text"), _BLANKS), lambda w: w != "")
     cut = F.col("taken") < F.col("n_tokens")
-    text = F.when(cut, F.array_join(F.slice(words, F.lit(1), F.col("taken").cast("int")), " ")).otherwise(F.col("row.text"))
+    whole, taken = F.col("row.text"), F.col("taken").cast("int")
+    # a blank at the begin counts as a part of its own
+    parts = taken + 1 + F.when(whole.rlike("^" + _BLANKS), 1).otherwise(0)
+    behind = F.get(F.split(whole, _BLANKS, parts), parts - 1)
+    kept = F.regexp_replace(F.left(whole, F.length(whole) - F.length(behind)), _BLANKS + "$", "")
+    text = F.when(cut & (F.col("taken") > 0), kept).when(cut, "").otherwise(whole)
     new = {"text": text}
     if "n_chars" in docs.columns:
         n_chars = F.when(cut, F.length(text)).otherwise(F.col("row.n_chars"))
