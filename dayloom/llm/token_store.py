@@ -96,10 +96,14 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, s
 
 
 def segment_starts(stored: DataFrame) -> DataFrame:
-    """(part, segment, base): ids before each segment. One short row per segment meets in a single task."""
-    before = Window.orderBy("part", "segment").rowsBetween(Window.unboundedPreceding, -1)
+    """(part, segment, base): ids before each segment. Sums of parts, one per task that wrote, are added up first."""
     sizes = stored.select("part", "segment", "n_ids")
-    return sizes.select("part", "segment", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
+    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("first"))
+    before = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    within = sizes.withColumn("before", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    return within.join(parts, "part").select("part", "segment", (F.col("first") + F.col("before")).alias("base"))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
