@@ -40,7 +40,7 @@ SHARE = 100  # percent
 TOP = 2000
 BITS = 24
 PART = 1 << 16  # counters in a row of the table
-BLOCK = 1_000_000  # words that a task looks at together
+BLOCK = 400_000  # words that a task looks at together
 SALTS = 64
 _END = b"\xff"  # stands for the end of a piece; no byte of UTF-8
 _TABLE = bytes(
@@ -101,8 +101,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
             texts.append((lang, words))
             n += len(words)
             if n >= BLOCK:
-                yield _Block(texts)
-                texts, n = [], 0
+                block = _Block(texts)
+                texts, n, words = [], 0, []  # let go before the block is worked on
+                yield block
     if texts:
         yield _Block(texts)
 
@@ -192,6 +193,7 @@ def longest_windows(texts: DataFrame, bits: int = BITS, min_count: int = MIN_COU
                 columns = [spelled.take(pa.array(windows[some, k])) for k in range(ORDER)]
                 arrays = [langs.take(pa.array(lang[some])), *columns, pa.array(n[some], pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, ["lang", *_WORDS, "n"])
+            pa.default_memory_pool().release_unused()  # a worker shares its executor's memory
 
     schema = ", ".join(f"{c} string" for c in ["lang", *_WORDS]) + ", n bigint"
     counted = texts.mapInArrow(gather, schema)
