@@ -1,4 +1,10 @@
-"""The corpus pipeline: stages over the documents table, each one an operator of ``dayloom.llm``."""
+"""The corpus pipeline: stages over the documents table, each one an operator of ``dayloom.llm``.
+
+All stages but the last return the columns of ``documents``, others beside them included. Defined results: a document with a null or empty
+text goes in the first stage (it has few words), one without a letter in the second; equal rows are copies, of which the third keeps one; a
+null ``doc_id`` comes last among copies, a null ``lang`` or ``source`` is a value like any other to the fourth; extra columns and names that
+the operators use inside are carried along unread up to the last stage, which returns pieces; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 
