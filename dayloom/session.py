@@ -57,8 +57,8 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def _default_is_local(spark: SparkSession, path: str) -> bool:
-    """A path without a scheme is local only where the cluster's default file system is."""
-    return path.startswith("file:") or spark.conf.get("spark.hadoop.fs.defaultFS", "file:").startswith("file:")
+    """A path without a scheme is local only where the default file system is, wherever that is configured."""
+    return path.startswith("file:") or spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:").startswith("file:")
 
 
 def scratch_database(spark: SparkSession) -> str:
