@@ -19,7 +19,7 @@ MICRO = 1_000_000
 # differences stay within a bigint.
 MAX_EXTENT = 1000 * MICRO
 
-_GEOMETRY_SCHEMA = "type string, coordinates string"
+_GEOMETRY_SCHEMA = "type string, coordinates string, geometries array<struct<type:string,coordinates:string>>"
 _POLYGON = "array<array<array<string>>>"
 _MULTI_POLYGON = f"array<{_POLYGON}>"
 
@@ -38,14 +38,21 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def st_geom_from_geojson(geometry: Column | str) -> Column:
-    """Polygon or MultiPolygon text to polygons of rings; NULL when any part does not parse."""
+    """Polygon, MultiPolygon, or a GeometryCollection of them, as text, to polygons of rings; NULL when any part does not parse.
 
-    def polygons(parsed: Column) -> Column:
+    The members of a collection are taken as the polygons of one geometry, so they must not overlap. Points and lines have no inside: NULL.
+    """
+
+    def member(parsed: Column) -> Column:
         coordinates = parsed["coordinates"]
         one = F.array(F.from_json(coordinates, _POLYGON))
         many = F.from_json(coordinates, _MULTI_POLYGON)
         return F.when(parsed["type"] == "Polygon", one).when(parsed["type"] == "MultiPolygon", many)
 
+    def polygons(parsed: Column) -> Column:
+        collected = F.flatten(F.transform(parsed["geometries"], member))  # NULL if any member is
+        return F.when(parsed["type"] == "GeometryCollection", collected).otherwise(member(parsed))
+
     def vertex(pair: Column) -> Column:
         return st_point(F.get(pair, F.lit(0)), F.get(pair, F.lit(1)))
 

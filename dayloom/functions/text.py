@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # The GeoJSON feature layout and the property that names a zone.
-FEATURE_SCHEMA = "properties map<string,string>, geometry struct<type:string,coordinates:string>"
+FEATURE_SCHEMA = "properties map<string,string>, geometry struct<type:string,coordinates:string,geometries:string>"
 ZIP_PROPERTY = "ZCTA5CE10"
 COORD_TYPE = "decimal(10,6)"
 
@@ -36,12 +36,15 @@ def feature_zip(parsed: Column, property_name: str = ZIP_PROPERTY) -> Column:
 
 
 def clean_geometry(parsed: Column) -> Column:
-    """The geometry as GeoJSON text with the quotes around coordinates removed."""
+    """The geometry as GeoJSON text with the quotes around coordinates removed; of a collection, those around numbers."""
     geometry = parsed["geometry"]
-    return F.concat(
+    plain = F.concat(
         F.lit('{"type":"'),
         geometry["type"],
         F.lit('","coordinates":'),
         F.regexp_replace(geometry["coordinates"], F.lit('"'), F.lit("")),
         F.lit("}"),
     )
+    members = F.regexp_replace(geometry["geometries"], r'"(-?[0-9][-+.0-9eE]*)"', "$1")
+    collection = F.concat(F.lit('{"type":"GeometryCollection","geometries":'), members, F.lit("}"))
+    return F.when(geometry["type"] == "GeometryCollection", collection).otherwise(plain)

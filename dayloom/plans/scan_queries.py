@@ -8,10 +8,10 @@ from dayloom.operators.export import (
     csv_export, dated_export as export_day, ordered_export, parquet_overwrite_gzip as write_gzip,
 )
 from dayloom.operators.gates import count_rows as count_all
-from dayloom.plans.inputs import AS_OF, events_by_day, feature_file, zone_frame, FEATURE_LINE, ZONE_CTE
+from dayloom.plans.inputs import AS_OF, FEATURE_LINE, ZONE_CTE, events_by_day, feature_file, spark_expr, zone_frame
 from dayloom.plans.registry import query
 from dayloom.session import read_given, scratch_database, scratch_folder
-from dayloom.sources.files import read_csv, read_csv_columns, read_parquet, read_tsv
+from dayloom.sources.files import read_csv, read_csv_apart, read_csv_columns, read_parquet, read_tsv
 from dayloom.sources.tables import empty_like, first_available, preview, read_table, read_table_day
 
 _EVENT_COLUMNS = "event_id, ts, user_id, event_type, value, props"
@@ -146,3 +146,18 @@ def parquet_n_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_files = rows.select("file").distinct().count()
     counts = rows.groupBy("event_type").agg(F.count("*").alias("n"))
     return counts.withColumn("n_files", F.lit(n_files))
+
+
+_LINE = """CASE o_orderkey % 10 WHEN 3 THEN CAST(o_orderkey AS VARCHAR) || ',none'
+                             WHEN 4 THEN CAST(o_orderkey AS VARCHAR) || ',1,2'
+                             ELSE CAST(o_orderkey AS VARCHAR) || ',' || CAST(o_custkey AS VARCHAR) END"""
+
+
+@query(f"SELECT {_LINE} AS line, o_orderkey % 10 IN (3, 4) AS damaged FROM orders")
+def scan_csv_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a CSV that read as two whole numbers, and those kept aside: another type, one value too many."""
+    path = scratch_folder(spark)
+    read_given(spark, sf_dir, "orders").select(spark_expr(_LINE).alias("value")).write.text(path)
+    good, damaged = read_csv_apart(spark, path, "o_orderkey bigint, o_custkey bigint", header=False)
+    whole = good.select(F.concat_ws(",", "o_orderkey", "o_custkey").alias("line"), F.lit(False).alias("damaged"))
+    return whole.unionByName(damaged.select("line", F.lit(True).alias("damaged")))
