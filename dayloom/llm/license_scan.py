@@ -2,11 +2,15 @@
 
 Two passes over whole texts. The first counts, over all documents, in how many each word of the templates stands; that
 gives the words' IDF. The second finds licences. Of every template the rarest words are posted (word -> template, place
-in it), so many that the others carry less than ``LEAST_SHARE`` of its IDF: a place with that share holds one of them.
-Each occurrence of a posted word nominates the place where the template would start. There all words of the template
-are compared with the text; those within ``SHIFT`` words of where they belong count, and where they carry at least
-``LEAST_SHARE`` of the template's IDF and the template's key phrase stands within its reach, the label is given. So no
-template takes from another, whatever else a document holds.
+in it), so many that the others carry at most ``UNPOSTED`` of its IDF. Of the posted words that a text holds, the postings are
+intersected by relative position: each occurrence votes, with its IDF, for the place where the template would start, and a place is
+nominated if the votes within ``SHIFT`` words of it reach what a match needs, ``LEAST_SHARE`` less what the others may add; so no
+match is missed. There all words of the template are compared with the text; those within ``SHIFT`` words of where they
+belong count, and where they carry at least ``LEAST_SHARE`` of the template's IDF and the template's key phrase stands
+within its reach, the label is given. So no template takes from another, whatever else a document holds.
+
+Some labels are of a family (``gpl``, ``bsd``), others of a version, told by a notice of its own (``gpl-2``, ``bsd-3``). ``UNLESS`` names
+those that a longer licence rules out: ``bsd-2`` is the text of ``bsd-3`` without one clause.
 
 Apart from that, the base: every place where the words of a base phrase stand in a row.
 
@@ -29,6 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 SHIFT = 2
 LEAST_SHARE = 0.5
+UNPOSTED = 0.25
 _ROUNDING = 1e-9
 
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -54,10 +59,29 @@ TEMPLATES = [
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby"
             " granted", "permission to use copy modify and or distribute this software"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the"
+            " software", "substantial portions of the software"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www"
+               " apache org licenses license 2 0", "apache org licenses license 2 0"),
+    ("gpl-2", "the gnu general public license version 2", "general public license version 2"),
+    ("gpl-2", "the gnu general public license as published by the free software foundation either version 2 of the license or at"
+              " your option any later version", "version 2 of the license"),
+    ("gpl-3", "the gnu general public license version 3", "general public license version 3"),
+    ("gpl-3", "the gnu general public license as published by the free software foundation either version 3 of the license or at"
+              " your option any later version", "version 3 of the license"),
+    ("bsd-2", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following"
+              " disclaimer in the documentation and or other materials provided with the distribution",
+     "redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd-3", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+              " derived from this software without specific prior written permission",
+     "may be used to endorse or promote products derived from this software"),
     ("unlicense", "this is free and unencumbered software released into the public domain",
      "unencumbered software released into the public domain"),
 ]
 
+#: label -> the label in whose presence it is not given
+UNLESS = {"bsd-2": "bsd-3"}
+
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -78,18 +102,20 @@ class Index:
     """Postings of the templates' rarest words, and all their words weighed by IDF."""
 
     def __init__(self, idf: dict[bytes, float]) -> None:
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        self.postings: dict[bytes, list[tuple[int, int, float]]] = defaultdict(list)
         self.templates = []
+        self.needed: list[float] = []  # votes that a match has at least
         for number, (label, notice, key) in enumerate(TEMPLATES):
             words = _split(notice)
             rarest = sorted(((idf[w], place, w) for place, w in enumerate(words)), key=lambda x: (-x[0], x[1]))
             weight = rest = math.fsum(idf[w] for w in words)
             for worth, place, word in rarest:
-                if rest < weight * (LEAST_SHARE - _ROUNDING):
+                if rest <= weight * UNPOSTED:
                     break
-                self.postings[word].append((number, place))
+                self.postings[word].append((number, place, worth))
                 rest -= worth
             self.templates.append((label, rarest, weight, _split(key)))
+            self.needed.append(weight * (LEAST_SHARE - _ROUNDING) - rest)
 
     def share(self, number: int, words: list[bytes], start: int) -> float:
         """The share of a template's weight that stands about ``start``; 0 once it cannot reach ``LEAST_SHARE``."""
@@ -110,22 +136,28 @@ class Index:
 
     def labels(self, words: list[bytes], found: dict[bytes, list[int]]) -> dict[str, float]:
         """Labels whose template is matched, with the largest share of its weight that was found."""
-        nominated: dict[int, set[int]] = defaultdict(set)
+        votes: dict[int, dict[int, float]] = defaultdict(lambda: defaultdict(float))
         for word in self.postings.keys() & found.keys():
-            for number, place in self.postings[word]:
-                nominated[number].update(at - place for at in found[word])
+            for number, place, worth in self.postings[word]:
+                of_template = votes[number]
+                for at in found[word]:
+                    of_template[at - place] += worth
         out: dict[str, float] = {}
-        for number, places in nominated.items():
+        for number, places in votes.items():
             label, rarest, _, key = self.templates[number]
-            # the place of the others may be up to SHIFT words from that of the nominating word
-            for start in {start + shift for start in places for shift in range(-SHIFT, SHIFT + 1)}:
+            # a word may stand up to SHIFT words from where it belongs
+            near: dict[int, float] = defaultdict(float)
+            for start, worth in places.items():
+                for shift in range(-SHIFT, SHIFT + 1):
+                    near[start + shift] += worth
+            for start in [at for at, worth in near.items() if worth >= self.needed[number]]:
                 share = self.share(number, words, start)
                 if share < LEAST_SHARE or share <= out.get(label, 0):
                     continue
                 low, high = max(0, start - SHIFT), start + len(rarest) + SHIFT
                 if any(words[i : i + len(key)] == key for i in range(low, min(high, len(words)) - len(key) + 1)):
                     out[label] = min(1.0, share)
-        return out
+        return {label: share for label, share in out.items() if UNLESS.get(label) not in out}
 
 
 def _places(words: list[bytes]) -> dict[bytes, list[int]]:
