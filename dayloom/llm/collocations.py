@@ -42,6 +42,7 @@ BITS = 24
 PART = 1 << 16  # counters in a row of the table
 BLOCK = 400_000  # words that a task looks at together
 SALTS = 64
+JOINED = 32  # tasks that become one where only counters are gathered
 _END = b"\xff"  # stands for the end of a piece; no byte of UTF-8
 _TABLE = bytes(
     0xFF if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 0x09 else b + 32 if 65 <= b <= 90 else b for b in range(256)
@@ -115,8 +116,8 @@ def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
 def opening_counters(texts: DataFrame, bits: int, min_count: int) -> np.ndarray:
     """The table of counters over all openings of two words and more, each cut off at ``min_count``.
 
-    A task sends its table once, so tasks are joined to a few per core before; parts of the table are added up where
-    they meet, one after the other.
+    A task sends its table once, so tasks are joined before, to a few per core, but never more than ``JOINED`` into one, as there may
+    be more cores later on; parts of the table are added up where they meet, one after the other.
     """
     kind = np.min_scalar_type(min_count)
     size = min(PART, 1 << bits)
@@ -146,7 +147,8 @@ def opening_counters(texts: DataFrame, bits: int, min_count: int) -> np.ndarray:
 
     spark = texts.sparkSession
     schema = "part int, counters binary"
-    sent = texts.coalesce(4 * spark.sparkContext.defaultParallelism).mapInArrow(count, schema)
+    few = max(4 * spark.sparkContext.defaultParallelism, -(-texts.rdd.getNumPartitions() // JOINED))
+    sent = texts.coalesce(few).mapInArrow(count, schema)
     out = np.zeros(((1 << bits) // size, size), kind)
     for row in sent.repartition("part").mapInArrow(add, schema).collect():  # the table, whose size is fixed
         out[row["part"]] = np.frombuffer(row["counters"], kind)
