@@ -48,8 +48,9 @@ def cut_into_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int
         encode_text = encoder(vocabulary)
         for batch in batches:
             out: list[tuple] = []
-            for name, text in zip(*(c.to_pylist() for c in batch.columns)):
-                ids = np.append(encode_text.ids(text), encode_text.dtype.type(end_id)).astype("<u4")
+            names, texts = (c.to_pylist() for c in batch.columns)
+            for name, raw in zip(names, encode_text.encode_all(texts)):
+                ids = np.append(np.frombuffer(raw, encode_text.dtype), encode_text.dtype.type(end_id)).astype("<u4")
                 cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
                 out.extend(
                     (name, i, a, b - a, zlib.crc32(ids[a:b].tobytes())) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))

@@ -2,18 +2,24 @@
 
 A byte-level BPE splits a text into words before it merges, and a single space between two non-blank characters
 always starts a new word. So a text can be cut at such spaces and the ids of the parts joined: the result is the
-library's own for the whole text. Parts repeat, so a worker keeps the ids of those it has met, up to ``MAX_KEPT`` of
-them (a third as many single words) and ``LONGEST_KEPT`` characters; others are computed each time they come.
+library's own for the whole text. Parts repeat: texts are encoded in blocks of about ``BLOCK`` characters, Arrow names the
+distinct parts of a block, and only those are looked up; numpy lays their ids out by text. A worker keeps the ids of parts it
+has met, up to ``MAX_KEPT`` of them (a third as many single words) and ``LONGEST_KEPT`` characters; others are computed once a
+block. ``let_go`` empties what is kept, for stages that run in the same workers later.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-MAX_KEPT = 600_000
+MAX_KEPT = 300_000
+BLOCK = 8_000_000  # characters encoded at once; a longer text is a block of its own
 LONGEST_KEPT = 14  # characters; longer parts seldom come again
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _CLOSING = frozenset(".,;:!?")
@@ -43,6 +49,11 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def let_go() -> None:
+    """Drop the encoders of this worker, and with them the ids they keep."""
+    _ENCODERS.clear()
+
+
 def _spelled(part: str) -> str:
     """A word of Latin letters as the vocabulary spells it; empty for anything else."""
     if not part.isalpha():
@@ -114,6 +125,49 @@ class Encoder:
         parts = _CUT.split(text) if _has_odd_blanks(text) else text.split(" ")
         return self.split(parts[0]) + b"".join(map(self.parts.__getitem__, parts[1:]))
 
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """``encode`` of each text, in order."""
+        block: list[str] = []
+        size = 0
+        for text in texts:
+            if block and size + len(text) > BLOCK:
+                yield from self._block(block)
+                block, size = [], 0
+            block.append(text)
+            size += len(text)
+        if block:
+            yield from self._block(block)
+
+    def _block(self, texts: list[str]) -> Iterator[bytes]:
+        split = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        named = split.values.dictionary_encode()
+        part, parts = named.indices.to_numpy(), named.dictionary.to_numpy(zero_copy_only=False).tolist()
+        odd = np.fromiter((not p or p[0].isspace() or p[-1].isspace() for p in parts), bool, len(parts))
+        ends = split.offsets.to_numpy()
+        firsts = ends[:-1]
+        # the first part has no space before it; texts with odd blanks are cut otherwise
+        alone = np.add.reduceat(odd[part], firsts) > 0
+        inner = np.ones(len(part), bool)
+        inner[firsts] = False
+        inner &= ~np.repeat(alone, np.diff(ends))
+        wanted = np.zeros(len(parts), bool)
+        wanted[part[inner]] = True
+        ids = [self.parts[p] if w else b"" for p, w in zip(parts, wanted.tolist())]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        starts = np.cumsum(lengths) - lengths
+        known = np.frombuffer(b"".join(ids), self.dtype)
+        n = np.where(inner, lengths[part], 0)
+        after = np.concatenate(([0], np.cumsum(n)))[ends]
+        del split, named, ids, odd, inner, wanted
+        for i, text in enumerate(texts):
+            if alone[i]:
+                yield self.encode(text)
+                continue
+            mine = slice(ends[i], ends[i + 1])
+            shift = np.cumsum(n[mine]) - n[mine]
+            at = np.repeat(starts[part[mine]] - shift, n[mine]) + np.arange(after[i + 1] - after[i])
+            yield self.split(parts[part[ends[i]]]) + known[at].tobytes()
+
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode(text), self.dtype)
 
