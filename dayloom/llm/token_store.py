@@ -77,8 +77,9 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, s
             return pa.record_batch([pa.array(c, f.type) for c, f in zip(row, _SEGMENT_TYPE)], schema=_SEGMENT_TYPE)
 
         for batch in batches:
-            for part, name, text in zip(*(c.to_pylist() for c in batch.columns)):
-                one = encode_text.encode(text) + end
+            parts, named, texts = (c.to_pylist() for c in batch.columns)
+            for part, name, raw in zip(parts, named, encode_text.encode_all(texts)):
+                one = raw + end
                 if ids and held + len(one) > segment_ids * width:
                     yield full()
                     number, ids, names, held = number + 1, [], [], 0
