@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dayloom.llm.byte_gru import WINDOW, ByteGru
 from dayloom.llm.sampling import smallest_marks_by
+from dayloom.llm.token_ids import let_go
 
 SAMPLE = 6000
 MAX_LABELS = 500  # labels that are learned, the most frequent ones; bounds what the driver gathers
@@ -105,6 +106,7 @@ def identify(docs: DataFrame, model: ByteGru | None) -> DataFrame:
 
 
 def _known(batches: Iterator[pa.RecordBatch], model: ByteGru | None, least: float) -> Iterator[pa.RecordBatch]:
+    let_go()  # of what an earlier job kept in this worker
     for batch in batches:
         langs, scores = predict_texts(model, batch.column("text").to_pylist())
         yield batch.filter(pa.array([lang != UNKNOWN and s >= least for lang, s in zip(langs, scores)], pa.bool_()))

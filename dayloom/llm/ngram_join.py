@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dayloom.llm.components import components
 from dayloom.llm.shingles import Shingler, mixed
+from dayloom.llm.token_ids import let_go
 from dayloom.session import stored
 
 N_COMMON = 1 << 17  # shingles ordered last; fixes the size of what is sent to each executor
@@ -137,6 +138,7 @@ def shingle_sets(docs: DataFrame, seed: int, naming: Naming = Naming()) -> DataF
     """A row per document, and rows (token, times) of repeated shingles with a null ``n``."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()  # of what an earlier job kept in this worker
         shingler, counter = Shingler(seed), _Counter()
         kinds = [pa.int64()] * 5 + [pa.binary()] + [pa.int64()] * 2
         names = ["doc_id", "text_id", "set_id", "check_id", "n", "signature", "token", "times"]
@@ -179,6 +181,7 @@ def prefix_tokens(docs: DataFrame, seed: int, common: np.ndarray, naming: Naming
     sent = docs.sparkSession.sparkContext.broadcast((common[by_hash], by_hash))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         shingler = Shingler(seed)
         hashes, rank = sent.value
         done: set[int] = set()
