@@ -9,8 +9,10 @@ Most windows are seen once, and a phrase below ``min_count`` is no part of any r
 with it. So a window is padded from where its opening words are rare beyond doubt: one pass first adds up all openings of two
 to five words in a table of 2^``bits`` counters, by hash. Several openings may share a counter, which can only make it too
 large; a counter below ``min_count`` therefore proves that none of its openings has a count that matters. All counts
-that are kept are exact whatever the size of the table; a small one only leaves more windows to the ROLLUP. The table
-has a fixed size (16 MB), is summed per part of 65,536 counters, and is the only thing broadcast.
+that are kept are exact whatever the size of the table; a small one only leaves more windows to the ROLLUP. So the table
+grows with the texts (``table_bits``). No task holds it: openings are sent as sorted places, about a byte each, to where
+their part of 262,144 counters is added up. Of a counter only whether it reached ``min_count`` is kept, and these bits, 2 MB to
+128 MB, are the only thing broadcast.
 
 A phrase of count a, cut after its first k words into parts of counts l and r, scores ``floor(1000 a n / (l r))`` in
 decimals of 38 digits, n all words of its language; its lowest cut counts, the first of equals. A phrase whose words stand inside a
@@ -38,8 +40,10 @@ ORDER = 5  # words of the longest window
 MIN_COUNT = 100
 SHARE = 100  # percent
 TOP = 2000
-BITS = 24
-PART = 1 << 16  # counters in a row of the table
+BITS = 24  # of the smallest table
+MOST_BITS = 30  # of the largest one, of which 128 MB are broadcast
+PART = 1 << 18  # counters in a row of the table
+RUN = 1 << 22  # openings that are sorted together
 BLOCK = 400_000  # words that a task looks at together
 SALTS = 64
 JOINED = 32  # tasks that become one where only counters are gathered
@@ -113,25 +117,73 @@ def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def opening_counters(texts: DataFrame, bits: int, min_count: int) -> np.ndarray:
-    """The table of counters over all openings of two words and more, each cut off at ``min_count``.
+def table_bits(texts: DataFrame, min_count: int) -> int:
+    """The bits of a table with at least four counters per ``min_count`` bytes of text, between ``BITS`` and ``MOST_BITS``.
 
-    A task sends its table once, so tasks are joined before, to a few per core, but never more than ``JOINED`` into one, as there may
-    be more cores later on; parts of the table are added up where they meet, one after the other.
+    Words of one letter, the shortest, open two windows of two words and more per byte, so that a counter's mean is below half of
+    ``min_count`` then; with common words it is about an eighth. The largest table does for 27 GB of text at a ``min_count`` of
+    100, and has means below it up to some five times that.
+    """
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(max((4 * size // max(min_count, 1)).bit_length(), BITS), MOST_BITS)
+
+
+def _steps(places: np.ndarray, size: int, min_count: int) -> Iterator[tuple[int, bytes]]:
+    """(part, steps) of places in parts of ``size``: the steps from one place to the next, in order, the first one from the part's start.
+
+    A step is a byte; 255 means that it goes on with the next one. No place comes more than ``min_count`` times.
+    """
+    places.sort()
+    if len(places) > min_count:
+        places = places[np.append(np.ones(min_count, bool), places[min_count:] != places[:-min_count])]
+    starts = np.flatnonzero(np.append(True, places[1:] // size != places[:-1] // size))
+    steps = np.diff(places, prepend=places[:1])
+    steps[starts] = places[starts] % size
+    ends = np.cumsum(steps // 255 + 1, dtype=np.int64)
+    sent = np.full(ends[-1], 255, np.uint8)
+    sent[ends - 1] = steps % 255
+    cuts = np.append(np.append(0, ends)[starts], ends[-1])
+    for part, begin, end in zip(places[starts] // size, cuts, cuts[1:]):
+        yield int(part), sent[begin:end].tobytes()
+
+
+def _add_steps(counters: np.ndarray, steps: np.ndarray, min_count: int) -> None:
+    """Add to the counters of a part what ``_steps`` made of it; they stop at ``min_count``."""
+    places = np.cumsum(steps, dtype=np.int64)[steps != 255]
+    last = np.flatnonzero(np.append(places[1:] != places[:-1], True))
+    places, n = places[last], np.diff(last, prepend=-1)
+    counters[places] = np.minimum(counters[places] + n, min_count)
+
+
+def frequent_openings(texts: DataFrame, bits: int, min_count: int) -> np.ndarray:
+    """The table as bits, eight to a byte: of the counters over all openings of two words and more, which reach ``min_count``.
+
+    A task sends its openings in runs of about ``RUN``. Steps are short where runs are full, so tasks are joined before, to a few
+    per core, but never more than ``JOINED`` into one, as there may be more cores later on. The bits are stored, so that the driver
+    takes them file by file.
     """
     kind = np.min_scalar_type(min_count)
     size = min(PART, 1 << bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(1 << bits, np.uint32)
+        run, n = [], 0
         for block in _blocks(batches):
             for k, _, hashes in block.openings():
                 if k > 1:
-                    np.add.at(counters, _places(hashes, bits), np.uint32(1))
-        small = np.minimum(counters, min_count).astype(kind).reshape(-1, size)
-        rows = [(i, part.tobytes()) for i, part in enumerate(small) if part.any()]
-        for i in range(0, len(rows), 16):
-            yield parts(rows[i : i + 16])
+                    run.append(_places(hashes, bits).astype(np.uint32))
+                    n += len(hashes)
+            if n >= RUN:
+                yield from sent(run)
+                run, n = [], 0
+        if n:
+            yield from sent(run)
+
+    def sent(run: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        places = np.concatenate(run)
+        run.clear()
+        rows = list(_steps(places, size, min_count))
+        for i in range(0, len(rows), 256):
+            yield parts(rows[i : i + 256])
 
     def parts(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
         arrays = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
@@ -140,27 +192,33 @@ def opening_counters(texts: DataFrame, bits: int, min_count: int) -> np.ndarray:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for part, counters in zip(batch.column(0).to_pylist(), batch.column(1)):
-                more = np.frombuffer(counters.as_py(), kind).astype(np.uint32)
-                sums[part] = np.minimum(sums.get(part, 0) + more, min_count)
-        yield parts([(part, total.astype(kind).tobytes()) for part, total in sums.items()])
+            for part, steps in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if part not in sums:
+                    sums[part] = np.zeros(size, kind)
+                _add_steps(sums[part], np.frombuffer(steps.as_buffer(), np.uint8), min_count)
+        for part, total in sums.items():
+            yield parts([(part, np.packbits(total >= min_count, bitorder="little").tobytes())])
 
     spark = texts.sparkSession
     schema = "part int, counters binary"
     few = max(4 * spark.sparkContext.defaultParallelism, -(-texts.rdd.getNumPartitions() // JOINED))
-    sent = texts.coalesce(few).mapInArrow(count, schema)
-    out = np.zeros(((1 << bits) // size, size), kind)
-    for row in sent.repartition("part").mapInArrow(add, schema).collect():  # the table, whose size is fixed
-        out[row["part"]] = np.frombuffer(row["counters"], kind)
+    added = stored(texts.coalesce(few).mapInArrow(count, schema).repartition("part").mapInArrow(add, schema))
+    out = np.zeros((-(-(1 << bits) // size), -(-size // 8)), np.uint8)
+    for row in added.toLocalIterator():
+        out[row["part"]] = np.frombuffer(row["counters"], np.uint8)
     return out.reshape(-1)
 
 
-def _counted(block: _Block, counters: np.ndarray, bits: int, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _is_set(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (table[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
+
+
+def _counted(block: _Block, frequent: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct windows of a block: language, words (0 for padding), and how often each stands."""
     windows = np.zeros((len(block.words), ORDER), np.int32)
     last = np.zeros(len(block.words), np.uint64)
     longer = np.zeros(len(block.words), bool)
-    for k, places, hashes in block.openings(lambda h: counters[_places(h, bits)] >= min_count):
+    for k, places, hashes in block.openings(lambda h: _is_set(frequent, _places(h, bits))):
         windows[places, k - 1] = block.words[places + (k - 1)]
         if k > 1:
             last[places], longer[places] = hashes, True
@@ -180,14 +238,19 @@ def _counted(block: _Block, counters: np.ndarray, bits: int, min_count: int) ->
     return langs, np.concatenate([ones, windows[first]]), np.concatenate([n_alone, n])
 
 
-def longest_windows(texts: DataFrame, bits: int = BITS, min_count: int = MIN_COUNT) -> DataFrame:
-    """(lang, w1, .., w5, n): the counted windows, padded from where they are rare beyond doubt."""
-    sent = texts.sparkSession.sparkContext.broadcast(opening_counters(texts, bits, min_count))
+def longest_windows(texts: DataFrame, bits: int | None = None, min_count: int = MIN_COUNT) -> DataFrame:
+    """(lang, w1, .., w5, n): the counted windows, padded from where they are rare beyond doubt.
+
+    ``bits`` is the table's size; without it the texts are measured first.
+    """
+    if bits is None:
+        bits = table_bits(texts, min_count)
+    sent = texts.sparkSession.sparkContext.broadcast(frequent_openings(texts, bits, min_count))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = sent.value
+        frequent = sent.value
         for block in _blocks(batches):
-            lang, windows, n = _counted(block, counters, bits, min_count)
+            lang, windows, n = _counted(block, frequent, bits)
             spelled = pa.array([b"", *block.spelled[1:]], pa.binary()).cast(pa.string())
             langs = pa.array(block.langs, pa.string())
             for at in range(0, len(n), 50_000):
@@ -246,7 +309,7 @@ def collocations(
     min_count: int = MIN_COUNT,
     share: int = SHARE,
     top: int = TOP,
-    bits: int = BITS,
+    bits: int | None = None,
     lang: str = "lang",
     text: str = "text",
 ) -> DataFrame:
