@@ -2,7 +2,9 @@
 
 The plane is cut into square cells of 2^level micro-degrees. A zone is listed once per cell that can hold an
 inner point, each cell with the few edges that pass through it; where many do, the cell is split into 16.
-A point looks up its own cell at each level in use, so a point and a zone meet in at most one cell.
+A point looks up its own cell at each level in use, so a point and a zone meet in at most one cell. Parts of a zone with
+a wide gap between them, such as the two sides of one across the 180th meridian, have cells of their own, as small as the part
+asks for; a point lies in at most one of them, and in the zone if it lies in one.
 
 Why a cell's own edges are enough: take the path from a point (x, y) right to the cell's border and up that
 border to the corner R, a hair above ``y`` and ``high`` and half a unit right of ``right``, where no vertex
@@ -31,6 +33,9 @@ _SHIFT = 1 << (_BITS - 1)
 _LEAST_LEVEL = 4
 # First cells: at most about this many along a zone's longer side.
 _FIRST_SIDE = 4
+# A zone is cut at gaps wider than its longer side divided by 2 to this power, by x and by y in turn, so often.
+_GAP_BITS = 6
+_CUTS = 2
 # A cell with more edges is split, at most this often; each split halves its side twice.
 _FEW_EDGES = 4
 _SPLITS = 3
@@ -112,6 +117,50 @@ def _narrow(cells: DataFrame, stays: Column) -> DataFrame:
     )
 
 
+def _once_sql(value: str, name: str, use: str) -> str:
+    """SQL for ``use``, in which ``name`` stands for ``value``, evaluated one time."""
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
+
+
+def _cut(edges: str, first: str, last: str) -> str:
+    """SQL for a list of edges as lists of parts, cut where no edge spans more than a small share of the longer side of all.
+
+    ``first`` and ``last`` are the ends of an edge ``e`` along the axis. The edges of a ring hang together, so a part has whole rings.
+    The ray from a point crosses the rings of another part an even number of times or, if the gap is above or below, never: what
+    all edges give is what those of the point's part give.
+    """
+    side = "greatest({})".format(", ".join(
+        f"array_max(transform({edges}, e -> greatest(e.a{c}, e.b{c}))) - array_min(transform({edges}, e -> least(e.a{c}, e.b{c})))"
+        for c in "xy"
+    ))
+    spans = f"array_sort(transform({edges}, e -> named_struct('first', {first}, 'last', {last})))"
+    reach = "named_struct('first', s.first, 'last', s.last)"
+    ranges = f"""aggregate(
+        spans,
+        named_struct('first', get(spans, 0).first, 'last', get(spans, 0).last, 'done', slice(spans, 1, 0)),
+        (s, t) -> if(t.first > s.last + gap,
+                     named_struct('first', t.first, 'last', t.last, 'done', concat(s.done, array({reach}))),
+                     named_struct('first', s.first, 'last', greatest(s.last, t.last), 'done', s.done)),
+        s -> concat(s.done, array({reach})))"""
+    parts = f"transform(ranges, r -> filter({edges}, e -> {first} BETWEEN r.first AND r.last))"
+    found = _once_sql(ranges, "ranges", f"if(size(ranges) = 1, array({edges}), {parts})")
+    return _once_sql(f"shiftright({side}, {_GAP_BITS})", "gap", _once_sql(spans, "spans", found))
+
+
+def _parts(zones: DataFrame) -> DataFrame:
+    """Zones as one row per part that no wide gap runs through, each with its own box."""
+    by_x, by_y = _cut("part", "least(e.ax, e.bx)", "greatest(e.ax, e.bx)"), _cut("part", "e.ay", "e.by")
+    parts = "array(edges)"
+    for cut in [by_x, by_y] * _CUTS:
+        parts = f"flatten(transform({parts}, part -> {cut}))"
+    listed = zones.select("zip", F.explode(F.expr(parts)).alias("edges"))
+    xs = F.concat(F.col("edges.ax"), F.col("edges.bx"))
+    return listed.select(
+        "zip", "edges", F.array_min(xs).alias("x0"), F.array_max(xs).alias("x1"),
+        F.array_min("edges.ay").alias("y0"), F.array_max("edges.by").alias("y1"),
+    )
+
+
 def _first_cells(zones: DataFrame) -> DataFrame:
     side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) + 1
     # only even levels, to keep the number of look-ups per point small
@@ -169,13 +218,13 @@ def _edge_values(e: Column) -> Column:
 
 
 def zone_cells(zones: DataFrame) -> DataFrame:
-    """One row per zone and cell that can hold an inner point.
+    """One row per part of a zone and cell that can hold an inner point.
 
     (zip, level, left, low, cell, base, n_edges, crowd) and the values of the first few edges as plain columns; ``crowd``
     lists all edges of a cell that has more. ``zones`` are rows of ``zone_table``. They are dealt out over all
     cores first: there are few of them, in few partitions, but each takes a while.
     """
-    cells = _first_cells(zones.repartition(zones.sparkSession.sparkContext.defaultParallelism))
+    cells = _first_cells(_parts(zones.repartition(zones.sparkSession.sparkContext.defaultParallelism)))
     for _ in range(_SPLITS):
         cells = _split(cells)
     held = cells.withColumn("_held", F.explode(F.when(_may_hold(), F.array(F.lit(True)))))
