@@ -322,6 +322,9 @@ def collocations(
     candidates = counts.where("k > 1").select("lang", "phrase", "k", F.col("f").alias("a"), F.split("phrase", " ").alias("words"))
     scored = _scored(counts, candidates).join(_inside(candidates), ["lang", "phrase"], "left")
     kept = scored.where(f"longer IS NULL OR 100 * longer < {share} * a")
+    # Spark cuts each task's rows to the best before it sends them only up to this rank
+    conf, limit = docs.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    conf.set(limit, max(top, int(conf.get(limit, "1000"))))
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
